@@ -43,12 +43,16 @@ class MinHash:
     seed: int = 20
 
 
-def folded_words(text: Column) -> Column:
-    """Distinct words as sorted 64-bit hashes, after look-alike characters, vowel marks,
-    punctuation, case and the forms of alef, hamza, yeh and teh marbuta are made equal."""
+def word_list(text: Column) -> Column:
+    """Words in order, after look-alike characters, vowel marks, punctuation, case and the
+    forms of alef, hamza, yeh and teh marbuta are made equal. Null gives null, blank an empty array."""
     plain = F.regexp_replace(F.lower(look_form(text)), "[\\p{M}\\p{Cf}ـء]", "")
-    words = F.filter(F.split(F.translate(plain, _FROM, _TO), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
-    return F.array_sort(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
+    return F.filter(F.split(F.translate(plain, _FROM, _TO), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
+
+
+def folded_words(text: Column) -> Column:
+    """Distinct words of :func:`word_list` as sorted 64-bit hashes."""
+    return F.array_sort(F.array_distinct(F.transform(word_list(text), lambda w: F.xxhash64(w))))
 
 
 def shingles(text: Column, size: int = 5) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sanadflow.llm import neardup, textform
+from sanadflow.llm import leaks, neardup, textform
 from sanadflow.sources.tables import table
 
 
@@ -31,5 +31,14 @@ def p6_canonical(spark: SparkSession, folder: str) -> DataFrame:
     return textform.with_forms(h.unionAll(o), "text").drop("text")
 
 
-QUERIES = {"p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_canonical": p6_canonical}
+def p7_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with leaked items, the share of each item and the spans to remove."""
+    return leaks.leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "text")
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p7_spans(spark, folder).select("doc_id", "item_id")
+
+
+QUERIES = {"p7_found": p7_found, "p7_spans": p7_spans, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_canonical": p6_canonical}
 SQL: dict[str, str] = {}
