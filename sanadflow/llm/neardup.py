@@ -14,19 +14,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sanadflow.llm.textform import look_form
+from sanadflow.llm.words import distinct_sorted, hashes, word_arrays
 from sanadflow.operators.graph import components
 from sanadflow.operators.pairs import expand_pairs
-from sanadflow.plans.layout import hash128, spread, spread_by
-
-# Forms of alef, hamza, yeh and teh marbuta, and the letters that stand for them.
-ARABIC_FOLDS = (("آأإٱ", "ا"), ("ؤ", "و"), ("ئىی", "ي"), ("ةۃ", "ه"))
-_FROM = "".join(a for a, _ in ARABIC_FOLDS)
-_TO = "".join(b * len(a) for a, b in ARABIC_FOLDS)
-
+from sanadflow.plans.layout import cut, hash128, spread, spread_by
 
 @dataclass(frozen=True)
 class MinHash:
@@ -43,24 +37,34 @@ class MinHash:
     seed: int = 20
 
 
-def word_list(text: Column) -> Column:
-    """Words in order, after look-alike characters, vowel marks, punctuation, case and the
-    forms of alef, hamza, yeh and teh marbuta are made equal. Null gives null, blank an empty array."""
-    plain = F.regexp_replace(F.lower(look_form(text)), "[\\p{M}\\p{Cf}ـء]", "")
-    return F.filter(F.split(F.translate(plain, _FROM, _TO), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
+def word_sets(words: pa.Array, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words of each text, as hashes."""
+    return distinct_sorted(hashes(words), ends)
+
 
+def shingle_sets(words: pa.Array, ends: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of ``size`` words, as hashes; a shorter text has one of all its words."""
+    each, lengths = hashes(words).view(np.uint64), np.diff(ends)
+    padded = np.concatenate([each, np.zeros(size, np.uint64)])
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    offset = np.arange(len(each)) - ends[:-1][owner]
+    rolled = np.zeros(len(each), np.uint64)
+    for j in range(size):
+        inside = offset + j < lengths[owner]
+        rolled = (rolled ^ np.where(inside, padded[j : j + len(each)], 0)) * np.uint64(0x9E3779B97F4A7C15)
+        rolled ^= rolled >> np.uint64(29)
+    keep = offset < np.maximum(lengths - size + 1, 1)[owner]
+    return distinct_sorted(rolled.view(np.int64)[keep], np.concatenate([[0], np.cumsum(np.minimum(lengths, np.maximum(lengths - size + 1, 1)))]))
 
-def folded_words(text: Column) -> Column:
-    """Distinct words of :func:`word_list` as sorted 64-bit hashes."""
-    return F.array_sort(F.array_distinct(F.transform(word_list(text), lambda w: F.xxhash64(w))))
 
+def _sets(sets):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, ends = sets(*word_arrays(batch.column("text")))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), lists], names=["id", "words"])
 
-def shingles(text: Column, size: int = 5) -> Column:
-    """Distinct word shingles as sorted hashes; a text of fewer words has one of all its words."""
-    plain = F.regexp_replace(F.lower(look_form(text)), "[\\p{M}\\p{Cf}]", "")
-    words = F.filter(F.split(plain, "[^\\p{L}\\p{N}]+"), lambda w: w != "")
-    starts = F.when(F.size(words) > 0, F.sequence(F.lit(1), F.greatest(F.size(words) - size + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-    return F.array_sort(F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, size)))))
+    return run
 
 
 @lru_cache(1)
@@ -127,31 +131,36 @@ def similar_classes(classes: DataFrame, p: MinHash) -> DataFrame:
     return candidates.select("c1_a", "c2_a", "c1_b", "c2_b", similarity.alias("similarity")).where(F.col("similarity") >= p.threshold)
 
 
-def _members(df: DataFrame, id_col: str, text: str, words) -> tuple[DataFrame, DataFrame]:
-    rows = spread(df.select(F.col(id_col).alias("id"), F.col(text).alias("_t"))).select("id", words(F.col("_t")).alias("words")).where(F.size("words") > 0).select("id", "words", *hash128(F.col("words"), "c"))
+def _members(df: DataFrame, id_col: str, text: str, sets) -> tuple[DataFrame, DataFrame]:
+    """``id, c1, c2`` of every row with a word, and ``c1, c2, words`` of every distinct set.
+
+    The sets are written once, in the checkpoint folder, as members, links and similarities all read them."""
+    kind = df.schema[id_col].dataType.simpleString()
+    texts = spread(df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))).where("text is not null")
+    rows = cut(texts.mapInArrow(_sets(sets), f"id {kind}, words array<long>").where(F.size("words") > 0).select("id", "words", *hash128(F.col("words"), "c")))
     return rows.select("id", "c1", "c2"), spread_by(rows, "c1", "c2").dropDuplicates(["c1", "c2"]).select("c1", "c2", "words")
 
 
-def similar_pairs(df: DataFrame, id_col: str, text: str, p: MinHash = MinHash(), words=folded_words) -> DataFrame:
+def similar_pairs(df: DataFrame, id_col: str, text: str, p: MinHash = MinHash(), sets=word_sets) -> DataFrame:
     """Pairs ``a < b`` of rows whose word sets have a Jaccard similarity of ``p.threshold`` or more.
 
     Rows with equal sets are one class in all comparisons and are expanded at the end.
     Null texts and texts without a word are in no pair; ids must be unique.
     """
-    members, classes = _members(df, id_col, text, words)
+    members, classes = _members(df, id_col, text, sets)
     links = similar_classes(classes, p).drop("similarity")
     several = members.groupBy("c1", "c2").count().where("count > 1")
     inside = several.select(F.col("c1").alias("c1_a"), F.col("c2").alias("c2_a"), F.col("c1").alias("c1_b"), F.col("c2").alias("c2_b"))
     return expand_pairs(links.unionByName(inside), members, ["c1", "c2"])
 
 
-def similar_groups(df: DataFrame, id_col: str, text: str, p: MinHash = MinHash(), words=folded_words) -> DataFrame:
+def similar_groups(df: DataFrame, id_col: str, text: str, p: MinHash = MinHash(), sets=word_sets) -> DataFrame:
     """``id, class_id, group_id, links`` for every row with a word: its class of equal sets,
     its connected group of similar classes and its class's number of links to other classes.
 
     Ids of classes and groups are hex strings made from the sets' hashes.
     """
-    members, classes = _members(df, id_col, text, words)
+    members, classes = _members(df, id_col, text, sets)
     name = lambda x="": F.concat(F.hex(f"c1{x}"), F.lit("-"), F.hex(f"c2{x}"))
     links = similar_classes(classes, p).select(name("_a").alias("a"), name("_b").alias("b"))
     degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("class_id")).agg(F.count("*").alias("links"))
