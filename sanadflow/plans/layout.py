@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like :func:`cut`, as a parquet table in the same shared folder: smaller, and readers
+    take only the columns they need. Its folder is new for each call and is left to whoever
+    clears the checkpoint folder."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def hash128(col: Column, name: str = "h") -> list[Column]:
     """Two independently seeded 64-bit hashes of ``col``, as ``{name}1`` and ``{name}2``.
 
