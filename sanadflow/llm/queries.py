@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sanadflow.llm import leaks, neardup, textform
+from sanadflow.llm import leaks, neardup, subjects, textform
 from sanadflow.sources.tables import table
 
 
@@ -40,5 +40,23 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return p7_spans(spark, folder).select("doc_id", "item_id")
 
 
-QUERIES = {"p7_found": p7_found, "p7_spans": p7_spans, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_canonical": p6_canonical}
+def p2_subjects(spark: SparkSession, folder: str) -> DataFrame:
+    """Every wording with its subject areas and their posteriors."""
+    return subjects.subjects(table(spark, folder, "hadith"), "row_id", "x", "t", table(spark, folder, "topic_lexicon"))
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p2_subjects(spark, folder).select("row_id", "topic")
+
+
+def p2_makeup(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each collection by subject area; a row counts for each of its subjects, '' stands for none."""
+    rows = table(spark, folder, "hadith").select("row_id", "s")
+    every = rows.join(p2_found(spark, folder), "row_id", "left").withColumn("topic", F.coalesce("topic", F.lit("")))
+    held = rows.groupBy("s").agg(F.count("*").alias("in_collection"))
+    made = every.groupBy("s", "topic").agg(F.count("*").alias("n_rows"))
+    return made.join(held, "s").select("s", "topic", "n_rows", (F.col("n_rows") / F.col("in_collection")).alias("share"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_subjects": p2_subjects, "p2_makeup": p2_makeup, "p7_found": p7_found, "p7_spans": p7_spans, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_canonical": p6_canonical}
 SQL: dict[str, str] = {}
