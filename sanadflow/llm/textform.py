@@ -8,14 +8,18 @@ worked on in Arrow batches, once for each distinct value of a batch.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from sanadflow.operators.pairs import expand_pairs
-from sanadflow.plans.layout import hash128
+from sanadflow.plans.layout import cut, spread
 
 # Letters of other alphabets or languages with the shape of another letter,
 # as (letters, letters they look like), by alphabet. Cyrillic, Greek, Armenian to Latin;
@@ -36,9 +40,6 @@ IGNORABLE = (
 )
 #: Compatibility mappings that leave the look unchanged: width, presentation forms, kinds of space, ligatures.
 SAME_LOOK = {"<wide>", "<narrow>", "<initial>", "<medial>", "<final>", "<isolated>", "<noBreak>", "<compat>"}
-#: What no step below can change: printable ASCII, accented Latin letters that are one character, basic Arabic letters.
-UNCHANGED = r"[^ -~À-ÖØ-Þà-öø-įıĴ-ľŁ-ňŊ-žء-غف-ي،؛؟]"
-
 _SHAPE = {ord(a): b for one, other in SAME_SHAPE for a, b in zip(one, other, strict=True)}
 
 
@@ -69,8 +70,6 @@ class _Look(dict):
 
 
 _LOOK = _Look()
-_SPACES = {o: " " for o in (*range(0x09, 0x0E), 0x85, 0x2028, 0x2029)}
-
 
 def look(text: str) -> str:
     """The form shared by all texts that look the same: composed, widths, ligatures and
@@ -85,10 +84,10 @@ def look(text: str) -> str:
 def canonical(text: str) -> str:
     """Compatibility-composed (NFKC), fully case-folded, white space mapped to single
     spaces, default-ignorable characters removed, look-alike letters written as one."""
-    text = unicodedata.normalize("NFKC", text)
-    text = "".join(c for c in text if c.isascii() or not _ignorable(ord(c))).translate(_SHAPE)
-    text = unicodedata.normalize("NFKC", text.casefold()).translate(_SHAPE).translate(_SPACES)
-    return " ".join(text.split())
+    if text.isascii():
+        return " ".join(text.lower().split())
+    text = unicodedata.normalize("NFKC", look(text)).casefold()
+    return " ".join(unicodedata.normalize("NFKC", text.translate(_SHAPE)).split())
 
 
 def _per_distinct(f, texts: pd.Series) -> pd.Series:
@@ -105,15 +104,29 @@ def _canonical_udf(texts: pd.Series) -> pd.Series:
     return _per_distinct(canonical, texts)
 
 
+def _beyond_ascii(col: Column) -> Column:
+    return F.when(F.octet_length(col) > F.char_length(col), col)
+
+
 def look_form(col: Column) -> Column:
-    """Column form of :func:`look`; null stays null."""
-    return F.coalesce(_look_udf(F.when(col.rlike(UNCHANGED), col)), col)
+    """Column form of :func:`look`; null stays null. ASCII texts never leave the JVM."""
+    return F.coalesce(_look_udf(_beyond_ascii(col)), col)
 
 
 def canonical_form(col: Column) -> Column:
     """Column form of :func:`canonical`; null stays null, blank text gives ''."""
-    plain = F.trim(F.regexp_replace(F.lower(col), " +", " "))
-    return F.coalesce(_canonical_udf(F.when(col.rlike(UNCHANGED), col)), plain)
+    return F.coalesce(_canonical_udf(_beyond_ascii(col)), F.trim(F.regexp_replace(F.lower(col), "[\\s\\x1c-\\x1f]+", " ")))
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of canonical form, look and stored form, made once for each distinct text of a batch."""
+    signed = lambda values: np.array(values, np.uint64).view(np.int64)
+    for batch in batches:
+        texts = batch.column("text").dictionary_encode()
+        distinct, at = texts.dictionary.to_pylist(), np.asarray(texts.indices, np.int64)
+        looks = [look(x) for x in distinct]
+        columns = ([xxhash.xxh3_64_intdigest(canonical(x)) for x in looks], [xxhash.xxh3_64_intdigest(x) for x in looks], [xxhash.xxh3_64_intdigest(x) for x in distinct])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(signed(x)[at]) for x in columns)], names=["id", "k1", "k2", "f"])
 
 
 def with_forms(df: DataFrame, text: str, look_as: str = "look", canonical_as: str = "canonical") -> DataFrame:
@@ -133,8 +146,10 @@ def same_look_pairs(df: DataFrame, id_col: str, text: str) -> DataFrame:
     those are expanded to rows, so many equal copies are never compared with each other.
     Null texts are in no pair; equal stored texts are no pair; ids must be unique.
     """
-    rows = df.where(F.col(text).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("stored"))
-    rows = with_forms(rows, "stored").select("id", *hash128(F.struct("canonical", "look"), "k"), F.xxhash64("stored").alias("f"))
+    kind = df.schema[id_col].dataType.simpleString()
+    texts = spread(df.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))).where("text is not null")
+    # The hashes are written once, as keys, members and forms all read them.
+    rows = cut(texts.mapInArrow(_hashed, f"id {kind}, k1 long, k2 long, f long"))
     several = rows.groupBy("k1", "k2").agg(F.min("f").alias("lo"), F.max("f").alias("hi")).where("lo < hi").select("k1", "k2")
     members = rows.join(several, ["k1", "k2"], "left_semi")
     forms = members.select("k1", "k2", "f").distinct()
