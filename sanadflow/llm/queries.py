@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sanadflow.llm import leaks, neardup, subjects, textform
+from sanadflow.llm import languages, leaks, neardup, subjects, textform
 from sanadflow.sources.tables import table
 
 
@@ -58,5 +58,15 @@ def p2_makeup(spark: SparkSession, folder: str) -> DataFrame:
     return made.join(held, "s").select("s", "topic", "n_rows", (F.col("n_rows") / F.col("in_collection")).alias("share"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_subjects": p2_subjects, "p2_makeup": p2_makeup, "p7_found": p7_found, "p7_spans": p7_spans, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_canonical": p6_canonical}
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.mislabelled(table(spark, folder, "documents"), "doc_id", "text", "lang")
+
+
+def p9_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Every stretch of every document with its language and confidence."""
+    found = languages.languages(table(spark, folder, "documents"), "doc_id", "text", "lang")
+    return found.select("doc_id", F.explode("segments").alias("s")).select("doc_id", "s.*")
+
+
+QUERIES = {"p9_found": p9_found, "p9_segments": p9_segments, "p2_found": p2_found, "p2_subjects": p2_subjects, "p2_makeup": p2_makeup, "p7_found": p7_found, "p7_spans": p7_spans, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_canonical": p6_canonical}
 SQL: dict[str, str] = {}
