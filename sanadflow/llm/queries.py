@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sanadflow.llm import languages, leaks, neardup, subjects, textform
+from sanadflow.llm import languages, leaks, neardup, people, subjects, textform
 from sanadflow.sources.tables import table
 
 
@@ -68,5 +68,9 @@ def p9_segments(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.explode("segments").alias("s")).select("doc_id", "s.*")
 
 
-QUERIES = {"p9_found": p9_found, "p9_segments": p9_segments, "p2_found": p2_found, "p2_subjects": p2_subjects, "p2_makeup": p2_makeup, "p7_found": p7_found, "p7_spans": p7_spans, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_canonical": p6_canonical}
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return people.same_person_pairs(table(spark, folder, "hadith"), "nr").select(F.col("a").alias("nr_a"), F.col("b").alias("nr_b"))
+
+
+QUERIES = {"p5_found": p5_found, "p9_found": p9_found, "p9_segments": p9_segments, "p2_found": p2_found, "p2_subjects": p2_subjects, "p2_makeup": p2_makeup, "p7_found": p7_found, "p7_spans": p7_spans, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_canonical": p6_canonical}
 SQL: dict[str, str] = {}
