@@ -77,16 +77,22 @@ def look(text: str) -> str:
     written as one. Case, marks, signs, line breaks and the number of spaces stay."""
     if text.isascii():
         return text
-    text = unicodedata.normalize("NFC", unicodedata.normalize("NFC", text).translate(_LOOK))
-    return text.translate(_SHAPE)
+    text = unicodedata.normalize("NFC", text).translate(_LOOK)
+    if unicodedata.is_normalized("NFC", text):
+        return text
+    return unicodedata.normalize("NFC", text).translate(_SHAPE)
 
 
 def canonical(text: str) -> str:
     """Compatibility-composed (NFKC), fully case-folded, white space mapped to single
     spaces, default-ignorable characters removed, look-alike letters written as one."""
+    return _folded(look(text))
+
+
+def _folded(text: str) -> str:
     if text.isascii():
         return " ".join(text.lower().split())
-    text = unicodedata.normalize("NFKC", look(text)).casefold()
+    text = unicodedata.normalize("NFKC", text).casefold()
     return " ".join(unicodedata.normalize("NFKC", text.translate(_SHAPE)).split())
 
 
@@ -125,7 +131,7 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = batch.column("text").dictionary_encode()
         distinct, at = texts.dictionary.to_pylist(), np.asarray(texts.indices, np.int64)
         looks = [look(x) for x in distinct]
-        columns = ([xxhash.xxh3_64_intdigest(canonical(x)) for x in looks], [xxhash.xxh3_64_intdigest(x) for x in looks], [xxhash.xxh3_64_intdigest(x) for x in distinct])
+        columns = ([xxhash.xxh3_64_intdigest(_folded(x)) for x in looks], [xxhash.xxh3_64_intdigest(x) for x in looks], [xxhash.xxh3_64_intdigest(x) for x in distinct])
         yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(signed(x)[at]) for x in columns)], names=["id", "k1", "k2", "f"])
 
 
