@@ -13,22 +13,21 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
 
     Each round contracts the graph: every node takes the least label among its
     neighbours, labels are followed one step further, and links inside a component
-    vanish. The links that are left shrink geometrically, and both they and the labels
+    vanish. The links that are left shrink geometrically; they and each round's relabelling
     are checkpointed, so a lost executor costs one round. Null ends are ignored, loops
     give single nodes; an empty table gives an empty result.
     """
     edges = cut(links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null").distinct())
-    labels = cut(edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct().withColumn("component", F.col("node")))
+    labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node"))
+    edges = edges.where("a <> b")
     for _ in range(rounds):
-        edges = edges.where("a <> b")
         if edges.isEmpty():
-            return labels
-        both = edges.union(edges.select("b", "a"))
-        least = both.groupBy(F.col("a").alias("old")).agg(F.min("b").alias("low"))
-        least = least.select("old", F.least("old", "low").alias("new"))
+            return cut(labels)
+        both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.a", "e.b")
+        least = both.groupBy(F.col("a").alias("old")).agg(F.least(F.col("old"), F.min("b")).alias("new"))
         onward = least.select(F.col("old").alias("new"), F.col("new").alias("end"))
         step = cut(least.join(onward, "new", "left").select("old", F.coalesce("end", "new").alias("new")))
-        labels = cut(labels.join(step.withColumnRenamed("old", "component"), "component", "left").select("node", F.coalesce("new", "component").alias("component")))
+        labels = labels.join(step.withColumnRenamed("old", "component"), "component", "left").select("node", F.coalesce("new", "component").alias("component"))
         edges = edges.join(step.select(F.col("old").alias("a"), F.col("new").alias("x")), "a").join(step.select(F.col("old").alias("b"), F.col("new").alias("y")), "b")
-        edges = cut(edges.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        edges = cut(edges.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     raise RuntimeError(f"components: not settled after {rounds} rounds")
