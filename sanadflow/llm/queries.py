@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sanadflow.llm import languages, leaks, neardup, people, subjects, textform
+from sanadflow.llm import languages, leaks, mixing, neardup, people, subjects, textform
 from sanadflow.sources.tables import table
 
 
@@ -72,5 +72,25 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return people.same_person_pairs(table(spark, folder, "hadith"), "nr").select(F.col("a").alias("nr_a"), F.col("b").alias("nr_b"))
 
 
-QUERIES = {"p5_found": p5_found, "p9_found": p9_found, "p9_segments": p9_segments, "p2_found": p2_found, "p2_subjects": p2_subjects, "p2_makeup": p2_makeup, "p7_found": p7_found, "p7_spans": p7_spans, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_canonical": p6_canonical}
+def p3_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed narrators with the biographies of that person and a confidence."""
+    bios = table(spark, folder, "kaggle_rawis")
+    return people.linked(table(spark, folder, "hadith"), "nr", bios, "scholar_indx", "name", "death_date_hijri").withColumnRenamed("value", "nr")
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p3_links(spark, folder).select("nr", "scholar_indx")
+
+
+def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The mixture: documents with their number of copies."""
+    return mixing.mix(table(spark, folder, "documents"), "doc_id", "text", "source", table(spark, folder, "mix_targets"))[0]
+
+
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Target and actual share of every source."""
+    return mixing.mix(table(spark, folder, "documents"), "doc_id", "text", "source", table(spark, folder, "mix_targets"))[1]
+
+
+QUERIES = {"p8_mix": p8_mix, "p8_shares": p8_shares, "p3_found": p3_found, "p3_links": p3_links, "p5_found": p5_found, "p9_found": p9_found, "p9_segments": p9_segments, "p2_found": p2_found, "p2_subjects": p2_subjects, "p2_makeup": p2_makeup, "p7_found": p7_found, "p7_spans": p7_spans, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_canonical": p6_canonical}
 SQL: dict[str, str] = {}
