@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sanadflow.plans import skew_queries
+from sanadflow.plans import corpus_queries, skew_queries
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**skew_queries.QUERIES}
-SQL: dict[str, str] = {**skew_queries.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**skew_queries.QUERIES, **corpus_queries.QUERIES}
+SQL: dict[str, str] = {**skew_queries.SQL, **corpus_queries.SQL}
