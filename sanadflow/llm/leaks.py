@@ -22,14 +22,14 @@ from sanadflow.plans.layout import cut, spread
 
 
 class FMIndex:
-    """FM-index of an integer text whose last symbol is 0. All queries are vectorised."""
+    """FM-index of an integer text whose last symbol is 0, over symbols below ``alphabet``. All queries are vectorised."""
 
-    def __init__(self, text: np.ndarray, sample: int = 8):
+    def __init__(self, text: np.ndarray, alphabet: int, sample: int = 8):
         n = len(text)
         order = _suffix_order(text)
         bwt = text[order - 1]
-        self.n, self.levels = n, max(1, int(text.max()).bit_length())
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=int(text.max()) + 1))])
+        self.n, self.levels = n, max(1, (alphabet - 1).bit_length())
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=alphabet))])
         self.ones, self.zeros = [], []
         row = bwt
         for level in range(self.levels - 1, -1, -1):
@@ -125,7 +125,7 @@ def _scan(items: list[list[str]], p: Leaks):
         starts = ends[:-1] + np.arange(len(ids))  # a 0 ends every document
         text = np.zeros(int(ends[-1]) + len(ids), np.int64)
         text[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])] = number(words)
-        index = FMIndex(text)
+        index = FMIndex(text, len(vocabulary) + 2)
         own = [number(pa.array(x, pa.string())) for x in items]
         k, longest = p.phrase, max(map(len, own))
         wide = np.full((len(own), longest), -1, np.int64)
