@@ -27,9 +27,9 @@ _MARKS = "\"'()[]{}«»,;:،؛…" + _END
 @dataclass(frozen=True)
 class Subjects:
     """Parameters: labelled documents that the first model and the calibration are fitted on,
-    the ones with the lowest hashes; words of the model, the most frequent ones; rounds of
-    expectation-maximisation; smoothing; bounds of one word's weight; log odds against a
-    sentence treating a subject; sentences that a subject takes; least posterior."""
+    about as many, by the hash of their id; words of the model, the most frequent ones; rounds of
+    expectation-maximisation; smoothing; bounds of one word's weight; telling words that a
+    sentence about a subject should weigh; sentences that a subject takes; least posterior."""
 
     labelled: int = 20_000
     words: int = 50_000
@@ -37,7 +37,7 @@ class Subjects:
     smoothing: float = 0.3
     most: float = 4.0
     least: float = -2.0
-    against: float = 4.0
+    against: float = 1.8
     sentences: int = 2
     posterior: float = 0.5
 
@@ -78,6 +78,9 @@ class _Model:
         against = np.log(none / none.sum()) - np.log(every / every.sum()) if counts[:, -1].any() else np.zeros(len(words))
         self.weights = np.clip(odds, p.least, p.most) - np.clip(against, -1, 1)[:, None]
         self.weights = self.weights.astype(np.float32)
+        # What a telling word of a subject weighs here: the fifth best of each, in the middle of the subjects.
+        typical = float(np.median(np.sort(np.clip(odds, p.least, p.most), axis=0)[-min(5, len(words))])) if len(words) else p.most
+        self.none = p.against * max(typical, 0.1)
 
     def scores(self, sentences: list[str]) -> np.ndarray:
         lists = [[self.number[w] for w in s.split(" ") if w in self.number] for s in sentences]
@@ -90,9 +93,9 @@ class _Model:
         return out
 
 
-def _posterior(scores: np.ndarray, against: float) -> np.ndarray:
-    """Shares of the subjects, and of none, in each sentence; the subjects share one prior."""
-    z = np.concatenate([scores - np.float32(np.log(scores.shape[1])), np.full((len(scores), 1), against, np.float32)], axis=1)
+def _posterior(scores: np.ndarray, none: float) -> np.ndarray:
+    """Shares of the subjects, and of none, in each sentence."""
+    z = np.concatenate([scores, np.full((len(scores), 1), none, np.float32)], axis=1)
     z = np.exp(z - z.max(axis=1, keepdims=True))
     return z / z.sum(axis=1, keepdims=True)
 
@@ -104,7 +107,7 @@ def _expect(model: _Model, p: Subjects):
         total = np.zeros((len(model.number), model.weights.shape[1] + 1))
         for batch in batches:
             sentences = batch.column("sentence").to_pylist()
-            share = _posterior(model.scores(sentences), p.against) * np.asarray(batch.column("n"), np.float64)[:, None]
+            share = _posterior(model.scores(sentences), model.none) * np.asarray(batch.column("n"), np.float64)[:, None]
             lists = [[model.number[w] for w in s.split(" ") if w in model.number] for s in sentences]
             owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
             np.add.at(total, np.array([i for x in lists for i in x], np.int64), share[owner])
@@ -183,18 +186,24 @@ def subjects(docs: DataFrame, doc_id: str, text: str, labels: str, lexicon: Data
     entries = lexicon.select("topic", "topic_ord", "keyword").where("topic is not null").distinct().orderBy("topic_ord", "topic", "keyword").collect()
     topics = list(dict.fromkeys(r["topic"] for r in entries))
     number = {_plain(t): i for i, t in enumerate(topics)}
+    if not topics:
+        return docs.sparkSession.createDataFrame([], f"{doc_id} {kind}, topic string, posterior double")
     rows = spread(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(labels).alias("labels"))).where("text is not null")
     split = stored(rows.mapInArrow(_split, f"id {kind}, sentences array<string>, labels array<string>"))
     counted = stored(split.select(F.explode("sentences").alias("sentence")).groupBy("sentence").agg(F.count("*").alias("n")))
     words = counted.select(F.explode(F.array_distinct(F.split("sentence", " "))).alias("w"), "n").groupBy("w").agg(F.sum("n").alias("n"))
     vocabulary = [r["w"] for r in words.orderBy(F.desc("n"), "w").limit(p.words).collect()]
-    sample = split.where(F.size("labels") > 0).orderBy(F.xxhash64("sentences", "id")).limit(p.labelled).select("sentences", "labels").collect()
+    # About p.labelled rows, chosen by the hash of their id alone: no sort, and no more than those go to the driver.
+    labelled = split.where(F.size("labels") > 0)
+    share = min(1.0, p.labelled / max(1, labelled.count()))
+    sample = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("sentences", "labels").collect()
     base, known = _labelled(vocabulary, sample, entries, topics, number)
     model = _Model(vocabulary, base, p)
     for _ in range(p.rounds if topics else 0):
         got = counted.mapInArrow(_expect(model, p), "w int, c int, n double").groupBy("w", "c").agg(F.sum("n").alias("n")).toPandas()
         counts = base.copy()  # the labelled counts stay in every round: they keep words of no subject level
-        counts[got["w"], got["c"]] += got["n"]
+        if len(got):
+            counts[got["w"], got["c"]] += got["n"]
         model = _Model(vocabulary, counts, p)
     flat = [s for r, _ in known for s in r]
     owner = np.repeat(np.arange(len(known)), [len(r) for r, _ in known])
@@ -202,7 +211,7 @@ def subjects(docs: DataFrame, doc_id: str, text: str, labels: str, lexicon: Data
     truth = np.zeros_like(best)
     for i, (_, own) in enumerate(known):
         truth[i, list(own)] = 1
-    calibration = _logistic(best.ravel().astype(np.float64), truth.ravel()) if truth.any() else (-p.against, 1.0)
+    calibration = _logistic(best.ravel().astype(np.float64), truth.ravel()) if truth.any() else (-model.none, 1.0)
     names = docs.sparkSession.createDataFrame(list(enumerate(topics)), "c int, topic string")
     return split.mapInArrow(_assign(model, calibration, p), f"id {kind}, c int, posterior double").join(F.broadcast(names), "c").select(F.col("id").alias(doc_id), "topic", "posterior")
 
