@@ -141,26 +141,26 @@ class Centroids:
         return np.stack([cos[:, self.of == k].max(axis=1) for k in range(len(self.languages))], axis=1)
 
 
-def fit(docs: DataFrame, text: str, label: str, p: Languages = Languages()) -> Centroids:
-    """Centroids from the stretches of a bounded sample of labelled documents; labels may be wrong in part."""
+def fit(docs: DataFrame, text: str, label: str, p: Languages = Languages()) -> Centroids | None:
+    """Centroids from the stretches of a bounded sample of labelled documents; labels may be wrong in part.
+    None if there is no labelled text."""
     known = docs.select(F.col(text).alias("text"), label_code(F.col(label)).alias("code")).where("text is not null and code <> '?'")
     place = F.row_number().over(Window.partitionBy("code").orderBy(F.xxhash64("text"), "text"))
     rows = known.withColumn("place", place).where(F.col("place") <= p.labelled).select("code", "text").collect()
     pairs = sorted((r["code"], s[2]) for r in rows for s in stretches(r["text"]) if s[3] >= p.sentence)
     if not pairs:
-        raise ValueError("no labelled text to fit on")
+        return None
     return Centroids([x for _, x in pairs], [c for c, _ in pairs], p)
 
 
 _SEGMENT = "struct<from:int,to:int,lang:string,confidence:double,words:int>"
 
 
-def _tag(model: Centroids):
-    p = model.p
+def _tag(model: Centroids | None, p: Languages):
     kind = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("words", pa.int32())]))
 
     def confidence(cos: np.ndarray) -> np.ndarray:
-        z = np.exp(20 * (cos - cos.max(axis=1, keepdims=True)))
+        z = np.exp(20 * (cos - cos.max(axis=1, keepdims=True, initial=-1)))
         return z / z.sum(axis=1, keepdims=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +168,8 @@ def _tag(model: Centroids):
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
                 parts = [stretches(x) if x else [] for x in batch.column("text").to_pylist()]
-                cos = model.near([s[2] for x in parts for s in x])
+                flat = [s[2] for x in parts for s in x]
+                cos = model.near(flat) if model else np.zeros((len(flat), 1), np.float32)
                 sure = confidence(cos)
                 size = np.array([s[3] for x in parts for s in x], np.float64)
                 langs, sures, segments, first = [], [], [], 0
@@ -202,12 +203,12 @@ def languages(docs: DataFrame, doc_id: str, text: str, label: str, p: Languages
     ``label`` is the delivered label's two-letter code: null if missing, '?' if of another
     language. Stretches of fewer than ``p.sentence`` words, such as foreign terms, take the
     document's language. A text far from all languages, or without letters, is ``und`` with
-    confidence 0; null texts give no row. Whole texts are read; nothing is shuffled.
+    confidence 0, and so is every text where no labels are to learn from; null texts give no row. Whole texts are read; nothing is shuffled.
     """
     model = model or fit(docs, text, label, p)
     rows = spread(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), label_code(F.col(label)).alias("label"))).where("text is not null")
     kind = docs.schema[doc_id].dataType.simpleString()
-    return rows.mapInArrow(_tag(model), f"id {kind}, lang string, confidence double, segments array<{_SEGMENT}>, label string").withColumnRenamed("id", doc_id)
+    return rows.mapInArrow(_tag(model, p), f"id {kind}, lang string, confidence double, segments array<{_SEGMENT}>, label string").withColumnRenamed("id", doc_id)
 
 
 def mislabelled(docs: DataFrame, doc_id: str, text: str, label: str, p: Languages = Languages()) -> DataFrame:
