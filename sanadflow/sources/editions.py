@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+import zlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -95,3 +101,30 @@ def best_edition(editions: DataFrame, work: str = "work", path: str = "path", si
     counts = entries(largest, path, raw).groupBy(F.col("edition").alias(path)).agg(F.count("*").alias("n_entries"))
     best = F.row_number().over(Window.partitionBy(work).orderBy(F.desc("n_entries"), F.desc(size), path))
     return largest.select(work, path, size).join(counts, path).withColumn("_r", best).where("_r = 1").select(work, path, "n_entries")
+
+
+def _members(contains: str | None):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for archive, content in zip(batch["path"], batch["content"], strict=True):
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as z:
+                        for m in z.infolist():
+                            if not m.is_dir() and (contains is None or contains.lower() in m.filename.lower()):
+                                try:
+                                    raw, error = z.read(m).decode("utf-8", errors="replace"), None
+                                except (zipfile.BadZipFile, NotImplementedError, RuntimeError, zlib.error) as e:
+                                    raw, error = None, f"{type(e).__name__}: {e}"
+                                yield pd.DataFrame({"archive": [archive], "path": [m.filename], "size": [m.file_size], "raw": [raw], "error": [error]}, dtype=object)
+                except zipfile.BadZipFile as e:
+                    yield pd.DataFrame({"archive": [archive], "path": [None], "size": [None], "raw": [None], "error": [f"BadZipFile: {e}"]}, dtype=object)
+
+    return run
+
+
+def read_archives(spark: SparkSession, path: str, contains: str | None = None) -> DataFrame:
+    """``archive, path, size, raw, error``: the members of all zip archives under ``path``, one row each,
+    as text with bad bytes replaced; ``contains`` keeps members whose path holds it, whatever the
+    case. What cannot be read is a row with ``error`` and no text, and does not stop the others."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zip").load(path)
+    return files.select("path", "content").mapInPandas(_members(contains), "archive string, path string, size long, raw string, error string")
