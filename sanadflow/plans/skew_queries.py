@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sanadflow.operators.skew import heavy_keys, key_profile
+from sanadflow.operators.skew import key_profile
 from sanadflow.sources.tables import table
 
 SHARE = 0.02
@@ -13,11 +13,19 @@ SHARE = 0.02
 
 def p1_profile(spark: SparkSession, folder: str) -> DataFrame:
     """Rows, collections, grades and topics of every value of ``nr``."""
-    return key_profile(table(spark, folder, "hadith"), "nr", {"collections": "s", "grades": "g", "topics": "t"}).drop("heavy")
+    return _profile(table(spark, folder, "hadith")).drop("heavy")
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    return heavy_keys(table(spark, folder, "hadith"), "nr", SHARE).where(F.col("nr").rlike(r"(?U)\S")).select("nr")
+    """The values that hold at least a fiftieth of the named rows, out of the profile of all values."""
+    rows = table(spark, folder, "hadith")
+    total = rows.agg(F.count("nr").alias("total"))
+    held = _profile(rows).where("heavy").join(F.broadcast(total)).where(F.col("n_rows") >= SHARE * F.col("total"))
+    return held.where(F.col("nr").rlike(r"(?U)\S")).select("nr")
+
+
+def _profile(rows: DataFrame) -> DataFrame:
+    return key_profile(rows, "nr", {"collections": "s", "grades": "g", "topics": "t"}, SHARE / 2)
 
 
 _PART = "(SELECT nr, count(*) AS k, string_agg(v || '=' || c, '; ' ORDER BY v) AS j FROM (SELECT nr, {v} AS v, count(*) AS c FROM {t} GROUP BY 1, 2) WHERE v IS NOT NULL GROUP BY 1)"
