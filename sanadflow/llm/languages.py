@@ -31,8 +31,9 @@ NAMES = {
 MISSING = "und unknown none null nan na n/a - -- ? ?? xx xxx zxx mis mul unk undefined undetermined unspecified other"
 _CODE = {name: code for code, names in NAMES.items() for name in names.split()}
 
-#: Ends of sentences, line ends, brackets and quotation marks part a text into stretches.
-_STRETCH = re.compile(r"[^.!?؟۔…\n()\[\]«»\"“”]+")
+#: Ends of sentences, brackets and quotation marks part a text into stretches; line ends do if whole sentences stand between them.
+_STRETCH = re.compile(r"[^.!?؟۔…()\[\]«»\"“”]+")
+_LINE = re.compile(r"[^\n]+")
 _OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -61,13 +62,20 @@ def label_code(label: Column) -> Column:
     return F.when(plain.isNull() | (plain == "") | plain.isin(*MISSING.split()), None).otherwise(F.coalesce(codes[F.regexp_replace(plain, " ", "-")], codes[base], F.lit("?")))
 
 
-def stretches(text: str) -> list[tuple[int, int, str, int]]:
-    """``from, to, letters, words`` of each stretch; letters are folded, all else is one space."""
+def stretches(text: str, least: int = 4) -> list[tuple[int, int, str, int]]:
+    """``from, to, letters, words`` of each stretch; letters are folded, all else is one space.
+
+    Lines of a stretch are stretches of their own unless one has fewer than ``least`` words: then
+    the lines were broken inside sentences, and stay together."""
     out = []
     for m in _STRETCH.finditer(text):
-        plain = _OTHER.sub(" ", look(m.group()).casefold()).strip()
-        if plain:
-            out.append((m.start(), m.end(), plain, plain.count(" ") + 1))
+        whole = m.group()
+        lines = [(x.start(), x.end()) for x in _LINE.finditer(whole)] if "\n" in whole else [(0, len(whole))]
+        plain = [_OTHER.sub(" ", look(whole[a:b]).casefold()).strip() for a, b in lines]
+        held = [(a, b, x) for (a, b), x in zip(lines, plain, strict=True) if x]
+        if len(held) > 1 and min(x.count(" ") + 1 for _, _, x in held) < least:
+            held = [(held[0][0], held[-1][1], " ".join(x for _, _, x in held))]
+        out += [(m.start() + a, m.start() + b, x, x.count(" ") + 1) for a, b, x in held]
     return out
 
 
@@ -147,7 +155,7 @@ def fit(docs: DataFrame, text: str, label: str, p: Languages = Languages()) -> C
     known = docs.select(F.col(text).alias("text"), label_code(F.col(label)).alias("code")).where("text is not null and code <> '?'")
     place = F.row_number().over(Window.partitionBy("code").orderBy(F.xxhash64("text"), "text"))
     rows = known.withColumn("place", place).where(F.col("place") <= p.labelled).select("code", "text").collect()
-    pairs = sorted((r["code"], s[2]) for r in rows for s in stretches(r["text"]) if s[3] >= p.sentence)
+    pairs = sorted((r["code"], s[2]) for r in rows for s in stretches(r["text"], p.sentence) if s[3] >= p.sentence)
     if not pairs:
         return None
     return Centroids([x for _, x in pairs], [c for c, _ in pairs], p)
@@ -167,7 +175,7 @@ def _tag(model: Centroids | None, p: Languages):
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                parts = [stretches(x) if x else [] for x in batch.column("text").to_pylist()]
+                parts = [stretches(x, p.sentence) if x else [] for x in batch.column("text").to_pylist()]
                 flat = [s[2] for x in parts for s in x]
                 cos = model.near(flat) if model else np.zeros((len(flat), 1), np.float32)
                 sure = confidence(cos)
