@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sanadflow.llm.textform import look
+from sanadflow.llm.words import pieces
 from sanadflow.plans.layout import spread
 
 # Codes and names of the languages, lower case; what stands for no label.
@@ -144,7 +145,13 @@ class Centroids:
         """Highest cosine to each language, 0 where every centroid of it is too far."""
         if not texts:
             return np.zeros((0, len(self.languages)), np.float32)
-        cos = self.cosines(*vectors(texts, self.p), len(texts))
+        cos, first, held = [], 0, 0
+        for i, x in enumerate(texts):
+            held += len(x)
+            if held > 400_000 or i + 1 == len(texts):
+                cos.append(self.cosines(*vectors(texts[first : i + 1], self.p), i + 1 - first))
+                first, held = i + 1, 0
+        cos = np.concatenate(cos)
         cos = np.where(cos >= self.p.rejected * self.usual, cos, 0)
         return np.stack([cos[:, self.of == k].max(axis=1) for k in range(len(self.languages))], axis=1)
 
@@ -173,8 +180,8 @@ def _tag(model: Centroids | None, p: Languages):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for at, many in pieces(whole.column("text"), 400_000):
+                batch = whole.slice(at, many)
                 parts = [stretches(x, p.sentence) if x else [] for x in batch.column("text").to_pylist()]
                 flat = [s[2] for x in parts for s in x]
                 cos = model.near(flat) if model else np.zeros((len(flat), 1), np.float32)

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sanadflow.llm.words import word_arrays, words_of
+from sanadflow.llm.words import pieces, word_arrays, words_of
 from sanadflow.plans.layout import cut, spread
 
 
@@ -168,8 +168,8 @@ def _scan(items: list[list[str]], p: Leaks):
 
         for whole in batches:
             # Texts are taken in small pieces, so that a shard stays bounded when they are long.
-            for first in range(0, whole.num_rows, 256):
-                batch = whole.slice(first, 256)
+            for first, many in pieces(whole.column("text"), 4 * p.shard):
+                batch = whole.slice(first, many)
                 now, stops = word_arrays(batch.column("text"))
                 ids.append(np.asarray(batch.column("doc"), np.int64))
                 words.append(now)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sanadflow.llm.words import distinct_sorted, hashes, word_arrays
+from sanadflow.llm.words import distinct_sorted, hashes, pieces, word_arrays
 from sanadflow.operators.graph import components
 from sanadflow.operators.pairs import expand_pairs
 from sanadflow.plans.layout import cut, hash128, spread, spread_by
@@ -59,10 +59,12 @@ def shingle_sets(words: pa.Array, ends: np.ndarray, size: int = 5) -> tuple[np.n
 
 def _sets(sets):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values, ends = sets(*word_arrays(batch.column("text")))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), lists], names=["id", "words"])
+        for whole in batches:
+            for at, many in pieces(whole.column("text"), rows=4096):
+                batch = whole.slice(at, many)
+                values, ends = sets(*word_arrays(batch.column("text")))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), lists], names=["id", "words"])
 
     return run
 
@@ -74,12 +76,22 @@ def _slices(positions: int, length: int, seed: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(np.concatenate([pi, pi[:length]]), length)
 
 
-def signatures(words: np.ndarray, ends: np.ndarray, p: MinHash) -> np.ndarray:
-    """Signatures of the sets ``words[ends[i]:ends[i + 1]]``, none of them empty."""
+def signatures(words: np.ndarray, ends: np.ndarray, p: MinHash, at_once: int = 1 << 15) -> np.ndarray:
+    """Signatures of the sets ``words[ends[i]:ends[i + 1]]``, none of them empty; memory is bounded by ``at_once`` words."""
     slices = _slices(p.positions, p.rows * p.bands, p.seed)
     sigma = words.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 | 1)
-    sigma = (sigma >> np.uint64(20)) % np.uint64(p.positions)
-    return np.minimum.reduceat(slices[sigma.astype(np.int64)], ends[:-1], axis=0)
+    sigma = ((sigma >> np.uint64(20)) % np.uint64(p.positions)).astype(np.int64)
+    out = np.full((len(ends) - 1, p.rows * p.bands), np.iinfo(np.int32).max, np.int32)
+    first = 0
+    while first < len(out):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + at_once, "right")) - 1)
+        if last > first + 1 or ends[last] - ends[first] <= at_once:
+            out[first:last] = np.minimum.reduceat(slices[sigma[ends[first] : ends[last]]], ends[first:last] - ends[first], axis=0)
+        else:
+            for at in range(int(ends[first]), int(ends[last]), at_once):
+                np.minimum(out[first], slices[sigma[at : min(at + at_once, int(ends[last]))]].min(axis=0), out=out[first])
+        first = last
+    return out
 
 
 def band_keys(sig: np.ndarray, p: MinHash) -> np.ndarray:

@@ -8,6 +8,7 @@ import unicodedata
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from sanadflow.llm.textform import look
 
@@ -34,6 +35,18 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text if text.isascii() else text.translate(_FOLD))
 
 
+def pieces(texts: pa.Array, characters: int = 2_000_000, rows: int = 512) -> list[tuple[int, int]]:
+    """Start and length of runs of texts that are bounded in rows and, but for single longer texts, in characters."""
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+    out, start, held = [], 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and (held + size > characters or i - start >= rows):
+            out.append((start, i - start))
+            start, held = i, 0
+        held += int(size)
+    return [*out, (start, len(sizes) - start)] if len(sizes) else []
+
+
 def word_arrays(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of ``texts`` in a row, and where those of each text end (with a leading 0)."""
     lists = [words_of(x) for x in texts.to_pylist()]

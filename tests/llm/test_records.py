@@ -103,6 +103,14 @@ def test_languages_held_out(spark):
     assert sum(r.label == r.lang for r in right) >= 0.85 * len(right)
 
 
+def test_very_long_text_in_two_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    text = "The judge heard both parties and gave the verdict near the old gate. " * 9000 + "On rapporte que le berger a rendu le pain à l'aube."
+    every = docs.unionAll(spark.createDataFrame([(9001, text, None, None, 0)], docs.schema))
+    got = languages.mislabelled(every, "doc_id", "text", "lang").where("doc_id = 9001").collect()
+    assert {r.lang for r in got} == {"en", "fr"}
+
+
 def plain_sainte_lague(weights, caps, seats):
     out = [0] * len(weights)
     for _ in range(seats):

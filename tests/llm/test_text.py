@@ -125,3 +125,21 @@ def test_a_leak_in_most_documents_is_still_found(spark):
 
 def test_nfc_is_assumed_by_look():
     assert unicodedata.is_normalized("NFC", textform.look("é​"))
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(8)
+    item = [f"i{k}" for k in range(50)]
+    long = [f"w{rng.randrange(10**6)}" for _ in range(120_000)]
+    rows = [(1, " ".join(long + item)), (2, " ".join(long[:110_000] + item)), (3, " ".join(item)), (4, "\u200b".join(long)), (5, "\u200b".join(long) + "\u200b")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert {r.id for r in leaks.leaks(df, "id", "text", items, "item_id", "text").collect()} == {1, 2, 3}
+    assert {tuple(r) for r in neardup.similar_pairs(df, "id", "text").collect()} == {(1, 2), (4, 5)}
+    assert [tuple(r) for r in textform.same_look_pairs(df, "id", "text").collect()] == [(4, 5)]
+
+
+def test_signatures_of_long_sets_equal_those_in_one_go():
+    p, rng = neardup.MinHash(bands=3, rows=2), np.random.default_rng(0)
+    words, ends = rng.integers(0, 2**62, 200), np.array([0, 3, 120, 125, 200])
+    assert (neardup.signatures(words, ends, p) == neardup.signatures(words, ends, p, at_once=10)).all()
