@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Grade filters of the browser and the grades they let through.
+# What stands for no grade; grade filters of the browser and the grades they let through.
+NO_GRADE = ("No grading source", "Ungraded", "UNGRADED", "")
 GRADES = {"all": None, "sahih": "^Sahih", "hasan": "^(Sahih|Hasan)", "weak": "Da'if|^Mawdu"}
 
 
@@ -21,9 +22,15 @@ def contains_text(query: str, *columns: str) -> Column:
     return F.lower(F.concat_ws("\n", *columns)).contains(low)
 
 
-def facet_filter(df: DataFrame, topic: str | None = None, collections: list[str] | None = None, grade: str = "all", query: str | None = None) -> DataFrame:
+def tier_filter(grade: Column, tier: str) -> Column:
+    """'both', 'graded' or 'ungraded': whether any grade is on record."""
+    known = F.coalesce(~grade.isin(*NO_GRADE), F.lit(False))
+    return {"both": F.lit(True), "graded": known, "ungraded": ~known}[tier]
+
+
+def facet_filter(df: DataFrame, topic: str | None = None, collections: list[str] | None = None, grade: str = "all", query: str | None = None, tier: str = "both") -> DataFrame:
     """Rows of the record form (``s, b, nr, x, t, g``) that pass every filter given."""
-    keep = grade_filter(F.col("g"), grade)
+    keep = grade_filter(F.col("g"), grade) & tier_filter(F.col("g"), tier)
     if topic is not None:
         keep &= F.coalesce(F.array_contains("t", topic), F.lit(False))
     if collections is not None:

@@ -40,6 +40,13 @@ def read_collections(spark: SparkSession, folder: str, slugs: Iterable[str]) ->
     return rows.select(ord_, "s", *named, F.coalesce("h.grade", F.lit(UNGRADED)).alias("g"), also.alias("also"), F.coalesce("h.verify_phrase", F.lit("")).alias("q"))
 
 
+def read_dataset(spark: SparkSession, path: str) -> DataFrame:
+    """A published dataset, one JSON array of :data:`NARRATION` records, with ``ord``, the place in the array."""
+    kind = "array<struct<" + NARRATION.replace(", ", ",").replace(" ", ":").replace("array:", "array") + ">>"
+    text = spark.read.option("wholetext", True).text(path)
+    return text.select(F.posexplode(F.from_json("value", kind, {"mode": "FAILFAST"})).alias("ord", "r")).select(F.col("ord").cast("long").alias("ord"), "r.*")
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, needs: Iterable[str] = ()) -> DataFrame:
     """A CSV file with header, quoted fields over several lines and fields of any length.
 

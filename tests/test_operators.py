@@ -202,6 +202,7 @@ def test_facets_and_gates(spark):
     ids = lambda **k: sorted(r.ord for r in facets.facet_filter(df, **k).collect())
     assert ids(grade="sahih") == [1] and ids(grade="hasan") == [1, 2] and ids(grade="weak") == [3] and ids() == [1, 2, 3, 4]
     assert ids(query="Y") == [1, 4] and ids(topic="T") == [1, 3] and ids(collections=["b"]) == [3, 4]
+    assert ids(tier="graded") == [1, 2, 3] and ids(tier="ungraded") == [4] and ids(tier="ungraded", grade="sahih") == []
     assert [r.ord for r in facets.page(df, 1, 3).collect()] == [4]
     assert facets.rows_from(df, 1, 0).count() == 0 and facets.rows_from(df, 1).count() == 3
     assert {(r.facet, r.value, r.n) for r in facets.facet_counts(df).collect()} >= {("topic", "T", 2), ("grade", None, 1), ("collection", "a", 2)}

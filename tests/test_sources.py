@@ -54,6 +54,13 @@ def test_collections(spark, tmp_path):
         collections.read_collections(spark, str(tmp_path), ["b", "c"]).collect()
 
 
+def test_dataset_round_trip(spark, tmp_path):
+    rows = [("k", 2, "b", "n", "متن", ["t"], "Sahih", ["k:1"], "q"), ("k", 1, None, None, None, None, None, None, None)]
+    collections.write_json_document(spark.createDataFrame(rows, collections.NARRATION).coalesce(1), str(tmp_path / "d.json"))
+    got = collections.read_dataset(spark, str(tmp_path / "d.json")).orderBy("ord").collect()
+    assert [tuple(r)[1:] for r in got] == rows and [r.ord for r in got] == [0, 1]
+
+
 def test_csv_and_json_documents(spark, tmp_path):
     df = spark.createDataFrame([("a", ["x", "y"], 'q "u", v'), ("ب", [], "l1\nl2")], "k string, t array<string>, v string").coalesce(1)
     assert collections.write_csv_document(df, str(tmp_path / "o.csv")) == 2
