@@ -135,10 +135,10 @@ class Centroids:
     def cosines(self, row, dim, count, rows) -> np.ndarray:
         w = self._weights(row, dim, count, rows).astype(np.float32)
         out = np.zeros((rows, self.centres.shape[1]), np.float32)
-        starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else np.zeros(0, int)
-        for a in range(0, len(starts), 4096):
-            use = slice(starts[a], starts[a + 4096] if a + 4096 < len(starts) else len(row))
-            out[row[starts[a : a + 4096]]] = np.add.reduceat(self.centres[dim[use]] * w[use, None], starts[a : a + 4096] - starts[a], axis=0)
+        ends = np.searchsorted(row, np.arange(rows + 1)).tolist()
+        for i in range(rows):
+            here = slice(ends[i], ends[i + 1])
+            out[i] = w[here] @ self.centres[dim[here]]
         return out
 
     def near(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
