@@ -30,7 +30,7 @@ SAME_SHAPE = (
     ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "ABEZHIKMNOPTYXCJ"),
     ("ονϲϳ", "ovcj"),
     ("օոսց", "onug"),
-    ("کیہۀ", "كيهة"),
+    ("کیہ", "كيه"),
     ("۰۱۲۳۷۸۹", "٠١٢٣٧٨٩"),
 )
 # Ranges of default-ignorable code points (Unicode property of that name).
