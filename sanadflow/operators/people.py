@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 from sanadflow.functions.names import DEGENERATE, arabic_part, clean_name, generation, is_generic, latin_part, match_key, tokens
 from sanadflow.functions.text import blank_markers, title_case, tolerant_int
 from sanadflow.operators.graph import components
-from sanadflow.plans.layout import stored
+from sanadflow.plans.layout import spread, stored
 
 
 def named(df: DataFrame, ord_: str, narrator: str, collection: str, topics: str, grade: str) -> DataFrame:
-    """``ord, raw, name, key, collection, topics, grade`` of every row whose narrator can be named."""
+    """``ord, raw, name, key, collection, topics, grade`` of every row whose narrator can be named.
+
+    Written once, in the shared folder: many counts read it, and cleaning a name takes some
+    sixty patterns."""
     name = clean_name(F.col("raw"))
-    rows = df.select(F.col(ord_).alias("ord"), F.trim(narrator).alias("raw"), F.col(collection).alias("collection"), F.col(topics).alias("topics"), F.col(grade).alias("grade"))
+    rows = spread(df.select(ord_, narrator, collection, topics, grade)).select(F.col(ord_).alias("ord"), F.trim(narrator).alias("raw"), F.col(collection).alias("collection"), F.col(topics).alias("topics"), F.col(grade).alias("grade"))
     rows = rows.withColumn("name", name).where(F.length("name") >= 3)
-    return rows.withColumn("key", match_key(F.col("name"))).where(F.length("key") >= 3)
+    return stored(rows.withColumn("key", match_key(F.col("name"))).where(F.length("key") >= 3))
 
 
 def clusters(rows: DataFrame) -> DataFrame:
@@ -112,7 +115,7 @@ def biographies(df: DataFrame) -> DataFrame:
     """``key, en, ar, grade, death_h, death_g, birth_place, death_place, idx`` of biographies as delivered."""
     en = latin_part(F.col("name"))
     rows = df.select(match_key(en).alias("key"), en.alias("en"), arabic_part(F.col("name")).alias("ar"), *[blank_markers(F.col(c)).alias(c) for c in ("grade", "birth_place", "death_place")], tolerant_int(blank_markers(F.col("death_date_hijri"))).alias("death_h"), tolerant_int(blank_markers(F.col("death_date_gregorian")), -(2**31), 2**31 - 1).alias("death_g"), F.col("scholar_indx").alias("idx"))
-    return rows.where("key <> ''")
+    return stored(rows.where("key <> ''"))
 
 
 def unique_prefix(left: DataFrame, right: DataFrame) -> DataFrame:
