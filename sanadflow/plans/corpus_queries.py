@@ -212,7 +212,7 @@ def verdict_match(spark, folder):
     """The most similar document of every test passage."""
     rows = table(spark, folder, "eval_items").select(F.col("item_id").alias("id"), X.word_set(F.col("text"), LATIN).alias("tokens"))
     corpus = spread(table(spark, folder, "documents").select("doc_id", "text")).select(F.col("doc_id").alias("cand"), F.col("doc_id").alias("ord"), X.word_set(F.col("text"), LATIN).alias("tokens"))
-    return match.by_rare_words(rows, corpus).withColumn("score", F.round("score", 9)).withColumn("match", F.col("match").cast("string"))
+    return match.best_in_corpus(rows, corpus).withColumn("score", F.round("score", 9)).withColumn("match", F.col("match").cast("string"))
 
 
 _PHRASE = f"(CASE WHEN len(w) - floor(len(w) / 3) >= 7 THEN array_to_string(list_slice(w, (floor(len(w) / 3) + 1)::INT, (floor(len(w) / 3) + 7)::INT), ' ') ELSE array_to_string(list_slice(w, 1, 7), ' ') END)"

@@ -143,6 +143,30 @@ def test_match_labels(spark):
     assert got == {"a": ("matched", "k1", "0.56"), "b": ("too short to match", None, None), "c": ("no confident match", None, "0.00")}
 
 
+def test_best_in_corpus_equals_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.sample("abcdefghijklmnop", rng.randrange(2, 12))) for i in range(30)]
+    texts = [(1000 - i, i, rng.sample("abcdefghijklmnopqrstuvw", rng.randrange(0, 15))) for i in range(700)] + [(2000 + i, 2000 + i, rows[7][1]) for i in range(600)]
+    frame = spark.createDataFrame(texts, "cand long, ord long, tokens array<string>").repartition(3)
+    got = {r.id: (r.label, r.match, r.score) for r in match.best_in_corpus(spark.createDataFrame(rows, "id long, tokens array<string>"), frame, block=11).collect()}
+
+    def score(a, b):
+        both = len(set(a) & set(b))
+        return both and max(both / (len(a) + len(b) - both), both / min(len(a), len(b)) * 0.9)
+
+    for i, words in rows:
+        s, _, cand = min((-score(words, x), order, cand) for cand, order, x in texts)
+        expected = ("too short to match", None, None) if len(words) < 4 else ("matched", cand, -s) if -s >= 0.45 else ("no confident match", None, -s)
+        assert got[i] == expected
+
+
+def test_best_in_corpus_of_common_words(spark):
+    rows = spark.createDataFrame([(1, list("abcdefgh")), (2, list("stuvwxyz"))], "id long, tokens array<string>")
+    texts = [(i, i, list("abcdefgh")) for i in range(501)]
+    got = {r.id: (r.label, r.match, r.score) for r in match.best_in_corpus(rows, spark.createDataFrame(texts, "cand long, ord long, tokens array<string>")).collect()}
+    assert got == {1: ("matched", 0, 1.0), 2: ("no confident match", None, 0.0)}
+
+
 @pytest.mark.parametrize(
     ("sizes", "finals"),
     [
