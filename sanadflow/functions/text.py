@@ -102,9 +102,14 @@ def score_text(col: Column) -> Column:
     return F.call_function("format_number", col, F.lit("0.00"))
 
 
+def spaced_words(col: Column) -> Column:
+    """What stands between white space, in order; null and blank give one ''."""
+    return F.split(collapse(F.coalesce(col, F.lit(""))), " ")
+
+
 def query_phrase(col: Column, size: int = 7) -> Column:
     """``size`` words from a third of the text on; the first ones where fewer are left."""
-    each = F.split(collapse(F.coalesce(col, F.lit(""))), " ")
+    each = spaced_words(col)
     start = F.floor(F.size(each) / 3).cast("int") + 1
     late = F.slice(each, start, size)
     return F.array_join(F.when(F.size(late) == size, late).otherwise(F.slice(each, 1, size)), " ")

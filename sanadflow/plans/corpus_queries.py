@@ -231,9 +231,11 @@ def verdict_classes(spark, folder):
 
 @query()
 def graded_rows(spark, folder):
-    """Rows matched by phrase with the other wordings that have the same phrase, scored to two decimals."""
+    """Rows matched with the documents that hold their phrase, at whatever place, scored to two decimals."""
     rows = table(spark, folder, "hadith").where("x is not null").select(F.col("row_id").alias("id"), X.query_phrase(F.col("x")).alias("phrase"), X.word_set(F.col("x"), LATIN).alias("tokens"))
-    candidates = table(spark, folder, "documents").where("text is not null").select(F.col("doc_id").alias("cand"), F.col("doc_id").alias("ord"), X.query_phrase(F.col("text")).alias("phrase"), X.word_set(F.col("text"), LATIN).alias("tokens"))
+    texts = spread(table(spark, folder, "documents").where("text is not null").select("doc_id", "text"))
+    texts = texts.select(F.col("doc_id").alias("cand"), F.col("doc_id").alias("ord"), X.spaced_words(F.col("text")).alias("words"), X.word_set(F.col("text"), LATIN).alias("tokens"))
+    candidates = match.holding(rows.where(F.size("tokens") >= 4), texts)
     return match.graded(rows, candidates)
 
 

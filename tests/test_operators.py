@@ -167,6 +167,21 @@ def test_best_in_corpus_of_common_words(spark):
     assert got == {1: ("matched", 0, 1.0), 2: ("no confident match", None, 0.0)}
 
 
+def test_phrase_stands_anywhere(spark):
+    texts = {1: "a b c d e f g", 2: "x a b c d e f g", 3: "x y a b c d e f gg", 4: "short one of five words", 5: "so it is a short one of five words here", 6: "a b c d e f g a b c d e f g", 7: ""}
+    frame = spark.createDataFrame([(i, i, x.split(" "), sorted(set(x.split(" ")))) for i, x in texts.items()], "cand long, ord long, words array<string>, tokens array<string>")
+    phrases = spark.createDataFrame([("a b c d e f g",), ("short one of five words",), ("",), ("b a",)], "phrase string")
+    got = sorted((r.phrase, r.cand) for r in match.holding(phrases, frame).collect())
+    assert got == [("a b c d e f g", 1), ("a b c d e f g", 2), ("a b c d e f g", 6), ("short one of five words", 4), ("short one of five words", 5)]
+
+
+def test_best_match_of_equal_rows_and_candidates(spark):
+    rows = spark.createDataFrame([("a", "p", list("abcdef")), ("b", "p", list("abcdef")), ("c", "q", list("abcdef"))], "id string, phrase string, tokens array<string>")
+    cands = spark.createDataFrame([("k3", 3, "p", list("abcdef")), ("k2", 2, "p", list("abcdef")), ("k1", 1, "p", list("abcdeg")), ("k4", 4, "q", list("abcdeg"))], "cand string, ord long, phrase string, tokens array<string>")
+    got = {r.id: (r.label, r.match, r.score) for r in match.graded(rows, cands).collect()}
+    assert got == {"a": ("matched", "k2", "1.00"), "b": ("matched", "k2", "1.00"), "c": ("matched", "k4", "0.75")}
+
+
 @pytest.mark.parametrize(
     ("sizes", "finals"),
     [
