@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sanadflow.llm.words import pieces, word_arrays, words_of
-from sanadflow.plans.layout import cut, spread
+from sanadflow.llm.words import hashes, pieces, words_of
+from sanadflow.plans.layout import cut, hash128, spread, spread_by, stored
 
 
 class FMIndex:
@@ -112,7 +112,8 @@ class Leaks:
     block: int = 2000
 
 
-_OUT = "doc long, item int, a int, b int, n int, diag int, at array<int>, hits long"
+_OUT = "doc long, item int, a int, b int, n int, diag int, around long, at array<int>, hits long"
+_AROUND = 8
 
 
 def _scan(items: list[list[str]], p: Leaks):
@@ -124,7 +125,10 @@ def _scan(items: list[list[str]], p: Leaks):
         sizes = np.diff(ends)
         starts = ends[:-1] + np.arange(len(ids))  # a 0 ends every document
         text = np.zeros(int(ends[-1]) + len(ids), np.int64)
-        text[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])] = number(words)
+        laid = np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])
+        text[laid] = number(words)
+        hashed = np.zeros(len(text), np.int64)
+        hashed[laid] = hashes(words)
         index = FMIndex(text, len(vocabulary) + 2)
         own = [number(pa.array(x, pa.string())) for x in items]
         k, longest = p.phrase, max(map(len, own))
@@ -150,15 +154,15 @@ def _scan(items: list[list[str]], p: Leaks):
         place = index.locate(suffix)
         doc = np.searchsorted(starts, place, "right") - 1
         seed = np.unique(np.stack([doc, np.repeat(which[pick], times), place - starts[doc] - np.repeat(at[pick], times)]), axis=1)
-        out = [_stretches(text, starts, sizes, wide, seed[:, i : i + 20000], p) for i in range(0, seed.shape[1], 20000)]
-        rows = [np.concatenate([x[j] for x in out]) if out else np.zeros(0, np.int64) for j in range(6)]
-        lists = [y for x in out for y in x[6]]
+        out = [_stretches(text, hashed, starts, sizes, wide, seed[:, i : i + 20000], p) for i in range(0, seed.shape[1], 20000)]
+        rows = [np.concatenate([x[j] for x in out]) if out else np.zeros(0, np.int64) for j in range(7)]
+        lists = [y for x in out for y in x[7]]
         seen = np.flatnonzero(hits > 0)
         none = pa.nulls(len(seen), pa.int32())
         cols = [pa.concat_arrays([pa.array(ids[rows[0]], pa.int64()), pa.nulls(len(seen), pa.int64())]), pa.concat_arrays([pa.array(rows[1], pa.int32()), pa.array(which[seen], pa.int32())]), pa.concat_arrays([pa.array(rows[2], pa.int32()), pa.array(at[seen], pa.int32())])]
-        cols += [pa.concat_arrays([pa.array(rows[j], pa.int32()), none]) for j in (3, 4, 5)]
+        cols += [pa.concat_arrays([pa.array(rows[j], pa.int32()), none]) for j in (3, 4, 5)] + [pa.concat_arrays([pa.array(rows[6], pa.int64()), pa.nulls(len(seen), pa.int64())])]
         cols += [pa.concat_arrays([pa.array(lists, pa.list_(pa.int32())), pa.nulls(len(seen), pa.list_(pa.int32()))]), pa.concat_arrays([pa.nulls(len(rows[0]), pa.int64()), pa.array(hits[seen], pa.int64())])]
-        return pa.RecordBatch.from_arrays(cols, names=["doc", "item", "a", "b", "n", "diag", "at", "hits"])
+        return pa.RecordBatch.from_arrays(cols, names=["doc", "item", "a", "b", "n", "diag", "around", "at", "hits"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, words, ends = [], [], [np.zeros(1, np.int64)]
@@ -170,7 +174,8 @@ def _scan(items: list[list[str]], p: Leaks):
             # Texts are taken in small pieces, so that a shard stays bounded when they are long.
             for first, many in pieces(whole.column("text"), 4 * p.shard):
                 batch = whole.slice(first, many)
-                now, stops = word_arrays(batch.column("text"))
+                each = pc.split_pattern(batch.column("text"), " ")
+                now, stops = each.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(each).to_numpy(zero_copy_only=False))]).astype(np.int64)
                 ids.append(np.asarray(batch.column("doc"), np.int64))
                 words.append(now)
                 ends.append(stops[1:] + ends[-1][-1])
@@ -183,7 +188,7 @@ def _scan(items: list[list[str]], p: Leaks):
     return run
 
 
-def _stretches(text, starts, sizes, wide, seed, p: Leaks):
+def _stretches(text, hashed, starts, sizes, wide, seed, p: Leaks):
     """Along each diagonal (doc, item, shift): maximal stretches in which a changed word costs three equal ones."""
     doc, item, diag = seed
     place = diag[:, None] + np.arange(wide.shape[1])
@@ -210,7 +215,7 @@ def _stretches(text, starts, sizes, wide, seed, p: Leaks):
         score[over | (score < 0)] = 0
         peak[over] = 0
     if not found:
-        return [np.zeros(0, np.int64)] * 6 + [[]]
+        return [np.zeros(0, np.int64)] * 7 + [[]]
     use, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
     run = np.concatenate([np.zeros((len(doc), 1), np.int64), np.cumsum(equal, axis=1)], axis=1)
     n = run[use, b] - run[use, a]
@@ -218,7 +223,14 @@ def _stretches(text, starts, sizes, wide, seed, p: Leaks):
     k = p.phrase
     full = run[:, k:] - run[:, :-k] == k
     lists = [np.flatnonzero(full[u, x : y - k + 1]) + x for u, x, y in zip(use, a, b, strict=True)]
-    return [doc[use], item[use], a, b, n, diag[use], lists]
+    # The words on both sides in the document, as one number: copies have them in common.
+    near = np.concatenate([(a + diag[use])[:, None] - np.arange(1, _AROUND + 1), (b + diag[use])[:, None] + np.arange(_AROUND)], axis=1)
+    within = (near >= 0) & (near < sizes[doc[use]][:, None])
+    around = np.zeros(len(use), np.uint64)
+    for word in np.where(within, hashed[np.where(within, starts[doc[use]][:, None] + near, 0)], 0).view(np.uint64).T:
+        around = (around ^ word) * np.uint64(0x9E3779B97F4A7C15)
+        around ^= around >> np.uint64(29)
+    return [doc[use], item[use], a, b, n, diag[use], around.view(np.int64), lists]
 
 
 def _combined(parts: DataFrame, p: Leaks) -> DataFrame:
@@ -236,11 +248,17 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
     ``spans`` are the merged removal spans, as ``struct<from, to>`` of word numbers of the
     document (see :func:`words_of`), from inclusive, to exclusive. A stretch counts only if
     it holds a phrase that is not common in documents without the item, as set phrases of
-    the language would otherwise pass for quotations. Every document is indexed whole.
+    the language would otherwise pass for quotations. Documents of the same words count as
+    one there, and so do stretches that stand between the same words. Every document is
+    indexed whole, those of the same words once.
     Items are the query side: they are read to the driver in blocks of ``p.block``.
     Null texts, texts and items without words give no row; ids must be unique.
     """
-    corpus = spread(docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where("doc is not null and text is not null"))
+    given = spread(docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where("doc is not null and text is not null"))
+    forms = stored(given.mapInArrow(_forms, "doc long, text string").where("text <> ''").select("*", *hash128(F.col("text"))))
+    first = stored(forms.groupBy("h1", "h2").agg(F.min("doc").alias("first")))
+    copies = forms.select("h1", "h2", F.col("doc").alias("copy")).join(first, ["h1", "h2"]).select("copy", F.col("first").alias("doc"))
+    corpus = spread_by(forms.select("doc", "text"), "doc").join(spread_by(first.select(F.col("first").alias("doc")), "doc"), "doc", "left_semi")
     known = items.select(F.col(item_id).alias("id")).where("id is not null").distinct().orderBy("id")
     ids = [r[0] for r in known.collect()]
     blocks = [ids[i : i + p.block] for i in range(0, len(ids), p.block)] or [[]]
@@ -250,11 +268,19 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
         rows = [(r[0], w) for r in rows if len(w := words_of(r[1])) >= p.phrase]
         part = _leaks(corpus, [w for _, w in rows], p) if rows else _none(docs.sparkSession)
         names = docs.sparkSession.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], f"item int, {item_id} {dict(items.dtypes)[item_id]}")
-        part = part.join(F.broadcast(names), "item").select(F.col("doc").alias(doc_id), item_id, "share", "spans")
+        part = part.join(F.broadcast(names), "item").join(copies, "doc").select(F.col("copy").alias(doc_id), item_id, "share", "spans")
         found = part if found is None else found.unionByName(part)
     return found
 
 
+def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function: the words of each text with one space between them."""
+    for whole in batches:
+        for first, many in pieces(whole.column("text")):
+            batch = whole.slice(first, many)
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array([" ".join(words_of(x)) for x in batch.column("text").to_pylist()], pa.string())], names=["doc", "text"])
+
+
 def _none(spark) -> DataFrame:
     return spark.createDataFrame([], "doc long, item int, share double, spans array<struct<from:int,to:int>>")
 
@@ -263,10 +289,13 @@ def _leaks(corpus: DataFrame, items: list[list[str]], p: Leaks) -> DataFrame:
     scanned = cut(corpus.mapInArrow(_scan(items, p), _OUT))
     sizes = corpus.sparkSession.createDataFrame([(i, len(x)) for i, x in enumerate(items)], "item int, words int")
     parts = scanned.where("doc is not null").join(F.broadcast(sizes), "item")
-    total = corpus.sparkSession.createDataFrame([(corpus.count(),)], "docs long")
+    total = corpus.agg(F.count("*").alias("docs"))
     hits = scanned.where("doc is null").groupBy("item", F.col("a").alias("pos")).agg(F.sum("hits").alias("hits"))
-    phrases = parts.select("doc", "item", "diag", "a", F.explode("at").alias("pos"))
-    inside = phrases.join(_combined(parts, p), ["doc", "item"], "left_semi").groupBy("item", "pos").agg(F.count("*").alias("own"))
+    phrases = parts.select("doc", "item", "diag", "a", "around", F.explode("at").alias("pos"))
+    # What does not count against a phrase: documents that hold the share, and stretches between the same words but one.
+    held = phrases.join(_combined(parts, p).select("doc", "item", F.lit(1).alias("whole")), ["doc", "item"], "left")
+    alike = held.groupBy("item", "pos", F.when(F.col("whole").isNull(), F.col("around")).alias("around"), "whole").agg(F.count("*").alias("n"))
+    inside = alike.groupBy("item", "pos").agg(F.sum(F.col("n") - F.when(F.col("whole").isNull(), 1).otherwise(0)).alias("own"))
     limit = F.greatest(F.lit(p.common_least), F.col("docs") * p.common)
     rare = hits.join(inside, ["item", "pos"], "left").join(F.broadcast(total)).where(F.col("hits") - F.coalesce("own", F.lit(0)) <= limit).select("item", "pos")
     telling = phrases.join(rare, ["item", "pos"], "left_semi").select("doc", "item", "diag", "a").distinct()

@@ -123,6 +123,27 @@ def test_a_leak_in_most_documents_is_still_found(spark):
     assert leaks.leaks(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", items, "item_id", "text").count() == 40
 
 
+@pytest.mark.parametrize("copy", ["same", "other end", "short"])
+def test_copies_of_a_short_quotation_make_no_set_phrase(spark, copy):
+    item = [f"i{k}" for k in range(50)]
+    quote = item[:15] if copy != "short" else item[:7]
+    copies = [(100 + i, [f"n{k}" for k in range(20)] + quote + [f"m{k}" for k in range(20)] + [f"e{i}"] * (copy == "other end")) for i in range(30)]
+    rows = [(1, item[:15] + [f"o{k}" for k in range(5)] + item[20:28]), *copies]
+    if copy == "short":
+        rows += [(i + 200, [f"n{k}" for k in range(9)] + item[4:11] + [f"m{k}" for k in range(9)]) for i in range(30)] + [(i + 300, [f"n{k}" for k in range(9)] + item[8:15] + [f"m{k}" for k in range(9)]) for i in range(30)]
+    frame = spark.createDataFrame([(i, (" " if i % 2 else ", ").join(x)) for i, x in rows], "doc_id long, text string").repartition(5)
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = leaks.leaks(frame, "doc_id", "text", items, "item_id", "text").collect()
+    assert [(r.doc_id, [tuple(s) for s in r.spans], r.share) for r in got] == [(1, [(0, 15), (20, 28)], 23 / 50)]
+
+
+def test_a_set_phrase_between_other_words_is_no_quotation(spark):
+    item = [f"i{k}" for k in range(50)]
+    rows = [(1, item[:15] + [f"o{k}" for k in range(5)] + item[20:28])] + [(100 + i, [f"n{i}"] * 9 + item[:15] + [f"m{i}"] * 9) for i in range(30)]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert leaks.leaks(spark.createDataFrame([(i, " ".join(x)) for i, x in rows], "doc_id long, text string"), "doc_id", "text", items, "item_id", "text").count() == 0
+
+
 def test_nfc_is_assumed_by_look():
     assert unicodedata.is_normalized("NFC", textform.look("é​"))
 
