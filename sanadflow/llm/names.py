@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from itertools import combinations
 from typing import NamedTuple
 
 from sanadflow.llm.textform import look
@@ -149,14 +150,15 @@ def near(a: str, b: str) -> int:
 
 def variants(word: str) -> list[str]:
     """The word and what is left when any one letter goes: words within one edit share one of these."""
-    return sorted({word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}) if len(word) > 3 else [word]
+    return sorted({word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}) if len(word) > 2 else [word]
 
 
 def keys(n: Name) -> list[str]:
-    """Blocking keys: two whole parts together, one of them with at most one edit. Names that
+    """Blocking keys: any two whole parts together, one of them with at most one edit. Names that
     agree in two whole parts but for one edit share a key."""
     out = set()
-    for tag, a, b in (("gf", n.given, n.father), ("go", n.given, n.origin), ("fo", n.father, n.origin), ("ko", n.kunya, n.origin), ("fb", n.father, n.byname), ("kg", n.kunya, n.given)):
+    for (x, a), (y, b) in combinations(zip("kgfob", n[:5], strict=True), 2):
+        tag = x + y
         if len(a) > 1 and len(b) > 1:
             out.update(f"{tag}:{v}|{b}" for v in variants(a))
             out.update(f"{tag}:{a}|{v}" for v in variants(b))

@@ -43,6 +43,16 @@ def test_near_shares_a_variant():
 VALUES = ["Narrated Zanrum ibn Ghimquqash al-Qinzutali", "Zanrum bin Ghimquqash", "Z. ibn Ghimquqash al-Qinzutali", "Zanrum al-Qinzutali said", "Zanrum ibn Ghimqquqash al-Qinzutali", "Tibmuq ibn Masjadud al-Ghaytiwini", "Tibmuq bin Masjadud al-Wandinabi", "Tibmuq ibn Masjadud", "Abu", "A man", "", None, "His father"]
 
 
+@pytest.mark.parametrize("edited", [0, 1])
+@pytest.mark.parametrize(("x", "y"), [(x, y) for x in range(5) for y in range(x + 1, 5)])
+def test_any_two_whole_parts_with_one_edit_share_a_key(x, y, edited):
+    for parts, other in ((("harun", "malik", "salim", "basri", "tawil"), ("harin", "malki", "salm", "basrri", "tawal")), (("anas", "umr", "zay", "adi", "say"), ("ans", "umi", "zya", "ada", "sayy"))):
+        a, b = ([""] * 5 for _ in range(2))
+        a[x], a[y] = parts[x], parts[y]
+        b[x], b[y] = (other[x], parts[y]) if edited else (parts[x], other[y])
+        assert set(names.keys(names.Name(*a))) & set(names.keys(names.Name(*b)))
+
+
 def test_variants_of_names(spark):
     df = spark.createDataFrame([(v,) for v in VALUES * 2], "nr string").withColumn("value", F.lit(1)).withColumn("id", F.lit(2))
     got = {tuple(r) for r in people.same_person_pairs(df, "nr").collect()}
