@@ -192,11 +192,14 @@ def subjects(docs: DataFrame, doc_id: str, text: str, labels: str, lexicon: Data
     split = stored(rows.mapInArrow(_split, f"id {kind}, sentences array<string>, labels array<string>"))
     counted = stored(split.select(F.explode("sentences").alias("sentence")).groupBy("sentence").agg(F.count("*").alias("n")))
     words = counted.select(F.explode(F.array_distinct(F.split("sentence", " "))).alias("w"), "n").groupBy("w").agg(F.sum("n").alias("n"))
-    vocabulary = [r["w"] for r in words.orderBy(F.desc("n"), "w").limit(p.words).collect()]
     # About p.labelled rows, chosen by the hash of their id alone: no sort, and no more than those go to the driver.
     labelled = split.where(F.size("labels") > 0)
     share = min(1.0, p.labelled / max(1, labelled.count()))
     sample = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("sentences", "labels").collect()
+    # The lexicon's words and those of the labelled rows are in the model however rare they are.
+    frequent = [r["w"] for r in words.orderBy(F.desc("n"), "w").limit(p.words).collect()]
+    known_by = [r["w"] for r in words.join(F.broadcast(lexicon.select(F.col("keyword").alias("w")).distinct()), "w", "left_semi").orderBy("w").collect()]
+    vocabulary = list(dict.fromkeys([*frequent, *known_by, *sorted({w for r in sample for s in r["sentences"] for w in s.split(" ")})]))
     base, known = _labelled(vocabulary, sample, entries, topics, number)
     model = _Model(vocabulary, base, p)
     for _ in range(p.rounds if topics else 0):

@@ -95,6 +95,21 @@ def test_subjects(spark):
     assert subjects.subjects(df.limit(0), "row_id", "x", "t", lexicon).count() == 0
 
 
+def test_rare_telling_words_stay_in_the_model(spark):
+    rng = random.Random(6)
+    common = ["went", "on", "by", "the", "road", "and", "said", "nothing", "more"]
+    words = {"Fire": "flame ash ember smoke".split(), "Rain": "cloud storm puddle thunder".split()}
+    rows = []
+    for i in range(200):
+        about = ["Fire", "Rain"][i % 2] if i % 4 < 2 else None
+        text = " ".join(f"He {' '.join(common)} {rng.choice(words[about]) if about else 'then'}." for _ in range(3))
+        rows.append((i, text, [about] if about else []))
+    df = spark.createDataFrame(rows, "row_id long, x string, t array<string>")
+    lexicon = spark.createDataFrame([(t, k, w) for k, t in enumerate(words) for w in words[t]], "topic string, topic_ord int, keyword string")
+    got = {(r.row_id, r.topic) for r in subjects.subjects(df, "row_id", "x", "t", lexicon, subjects.Subjects(words=len(common))).collect()}
+    assert got == {(i, t[0]) for i, _, t in rows if t}
+
+
 def test_label_codes(spark):
     typed = ["EN", "en-GB", "ur_PK", "French", " Persian ", "in", "ms", "nl", "", None, "und", "unknown", "Bahasa Indonesia", "xyz"]
     got = [r.c for r in spark.createDataFrame([(x,) for x in typed], "l string").select(languages.label_code(F.col("l")).alias("c")).collect()]
