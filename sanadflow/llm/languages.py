@@ -6,31 +6,34 @@ centroids for each language, cosine, and rejection of what is far from every cen
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from sanadflow.llm.textform import look
 from sanadflow.llm.words import pieces
 from sanadflow.plans.layout import spread
 
-# Codes and names of the languages, lower case; what stands for no label.
-NAMES = {
-    "en": "en eng english inglés anglais إنجليزي الإنجليزية",
-    "ar": "ar ara arb arabic arabe عربي العربية عربى",
-    "ur": "ur urd urdu اردو اُردو",
-    "fa": "fa fas per pes farsi persian فارسی فارسي",
-    "tr": "tr tur turkish türkçe turkce",
-    "id": "id in ind indonesian indonesia bahasa-indonesia",
-    "fr": "fr fra fre french français francais",
-}
+# Bibliographic codes of ISO 639-2 and withdrawn codes, with the two-letter codes they stand for;
+# names the platform's locale data do not give; what stands for no label.
+OTHER_CODES = (
+    "alb sq arm hy baq eu bur my chi zh cze cs dut nl fre fr geo ka ger de gre el ice is mac mk mao mi may ms per fa rum ro slo sk tib bo wel cy "
+    "in id iw he ji yi arb ar cmn zh pes fa prs fa zsm ms ekk et lvs lv nob nb nno nn swh sw"
+)
+OTHER_NAMES = "farsi fa bahasa-indonesia id indonesia id turkce tr francais fr espanol es castilian es portugues pt persan fa mandarin zh"
 MISSING = "und unknown none null nan na n/a - -- ? ?? xx xxx zxx mis mul unk undefined undetermined unspecified other"
-_CODE = {name: code for code, names in NAMES.items() for name in names.split()}
+#: Languages in which names of languages are known, besides each language's own.
+NAMED_IN = ("en", "fr", "de", "es", "ar")
 
 #: Ends of sentences, brackets and quotation marks part a text into stretches; line ends do if whole sentences stand between them.
 _STRETCH = re.compile(r"[^.!?؟۔…()\[\]«»\"“”]+")
@@ -40,12 +43,18 @@ _OTHER = re.compile(r"[\W\d_]+")
 
 @dataclass(frozen=True)
 class Languages:
-    """Parameters: labelled documents for each language that the centroids are fitted on (those
-    with the lowest hashes); centroids for each language; hashed n-gram dimensions; longest
+    """Parameters: labelled documents for each language that the centroids are fitted on (about as
+    many, by the hash of the text), stretches taken of one of them, labels fitted at most, the most
+    frequent ones, and labelled documents that make a language; cosine of two labels' centroids from
+    which they are one language; centroids for each language; hashed n-gram dimensions; longest
     n-gram; words of a whole sentence; by how much a stretch must be nearer to another language
     than to the document's own; share of the cosine usual at a centroid below which it is rejected."""
 
     labelled: int = 400
+    stretches: int = 200
+    labels: int = 1000
+    fewest: int = 3
+    same: float = 0.95
     centroids: int = 3
     dimensions: int = 1 << 15
     longest: int = 3
@@ -55,12 +64,44 @@ class Languages:
     seed: int = 5
 
 
+@lru_cache(1)
+def known_names() -> dict[str, str]:
+    """Two-letter code of every language by its codes and names, lower case, from the locale data of the Java platform."""
+    words = f"{OTHER_CODES} {OTHER_NAMES}".split()
+    names = dict(zip(words[::2], words[1::2], strict=True))
+    locale = SparkSession.active()._jvm.java.util.Locale
+    shown = [locale.forLanguageTag(x) for x in NAMED_IN]
+    codes = [(str(c), locale.forLanguageTag(str(c))) for c in locale.getISOLanguages()]
+    for code, _ in codes:
+        names.setdefault(code, code)
+    for code, one in codes:
+        code = names[code]
+        names.setdefault(one.getISO3Language(), code)
+        for other in (one, *shown):
+            names.setdefault(one.getDisplayLanguage(other).lower(), code)
+    return names
+
+
+def code_of(label: str | None, names: dict[str, str]) -> str | None:
+    """The two-letter code of a label; itself, lower case, if it is no known code or name; None if it is missing."""
+    plain = " ".join((label or "").lower().split())
+    if not plain or plain in MISSING.split():
+        return None
+    base = re.split(r"[-_]", plain)[0]
+    return names.get(plain) or names.get(plain.replace(" ", "-")) or names.get(base) or (base if re.fullmatch("[a-z]{2,3}", base) else plain)
+
+
 def label_code(label: Column) -> Column:
-    """The two-letter code of a label: null if it is missing, '?' if it names none of the languages."""
-    plain = F.trim(F.lower(F.regexp_replace(label, r"[\s ]+", " ")))
-    base = F.regexp_replace(plain, r"[-_].*$", "")
-    codes = F.create_map(*[F.lit(x) for pair in _CODE.items() for x in pair])
-    return F.when(plain.isNull() | (plain == "") | plain.isin(*MISSING.split()), None).otherwise(F.coalesce(codes[F.regexp_replace(plain, " ", "-")], codes[base], F.lit("?")))
+    """Column form of :func:`code_of`."""
+    names = known_names()
+
+    @F.pandas_udf(StringType())
+    def coded(labels: pd.Series) -> pd.Series:
+        # A list, so that what is missing stays null.
+        found = {x: code_of(x, names) for x in labels.dropna().unique()}
+        return pd.Series([found.get(x) for x in labels], dtype=object)
+
+    return coded(label.cast("string"))
 
 
 def stretches(text: str, least: int = 4) -> list[tuple[int, int, str, int]]:
@@ -99,18 +140,30 @@ def vectors(texts: list[str], p: Languages) -> tuple[np.ndarray, np.ndarray, np.
 class Centroids:
     """Fitted model: inverse document frequencies, centroids, their languages and usual cosines."""
 
-    def __init__(self, texts: list[str], labels: list[str], p: Languages):
+    def __init__(self, texts: list[str], labels: list[str], documents: dict[str, int], p: Languages):
         self.p = p
         row, dim, count = vectors(texts, p)
         self.idf = (np.log((1 + len(texts)) / (1 + np.bincount(dim, minlength=p.dimensions))) + 1).astype(np.float32)
         self.languages = sorted(set(labels))
-        y = np.array([self.languages.index(x) for x in labels])
-        # First one centroid a language; stretches nearer to another one have a wrong label or are foreign, and are left out.
-        self.of = np.arange(len(self.languages))
-        for _ in range(2):
-            self.centres = self._means(row, dim, count, y, len(self.languages))
-            nearest = self.cosines(row, dim, count, len(texts)).argmax(axis=1)
-            y = np.where(nearest == y, y, -1)
+        while True:
+            y = np.array([self.languages.index(x) if x in self.languages else -1 for x in labels])
+            had = np.bincount(y[y >= 0], minlength=len(self.languages))
+            # First one centroid a language; stretches nearer to another one have a wrong label or are foreign, and are left out.
+            self.of = np.arange(len(self.languages))
+            alike = None
+            for _ in range(2):
+                self.centres = self._means(row, dim, count, y, len(self.languages))
+                alike = self.centres.T @ self.centres if alike is None else alike
+                nearest = self._without_itself(self.cosines(row, dim, count, len(texts)), y).argmax(axis=1)
+                y = np.where(nearest == y, y, -1)
+            # A label whose centroid is that of a label with more documents names no language of its own, nor does one most
+            # of whose stretches are nearer to other languages: it is a wrong label. The least frequent goes first.
+            held = np.bincount(y[y >= 0], minlength=len(self.languages))
+            rank = lambda k: (documents[self.languages[k]], self.languages[k])
+            wrong = [k for k in self.of if any(alike[k, j] >= p.same and rank(j) > rank(k) for j in self.of)] or [k for k in self.of if 2 * held[k] < had[k]]
+            if not wrong or len(self.languages) == 1:
+                break
+            del self.languages[min(wrong, key=rank)]
         rng = np.random.default_rng(p.seed)
         part = np.where(y >= 0, y * p.centroids + rng.integers(0, p.centroids, len(y)), -1)
         self.of = np.repeat(np.arange(len(self.languages)), p.centroids)
@@ -130,7 +183,16 @@ class Centroids:
         rows = len(group)
         w, g = self._weights(row, dim, count, rows), group[row]
         flat = np.bincount(g[g >= 0] * self.p.dimensions + dim[g >= 0], w[g >= 0], groups * self.p.dimensions).reshape(groups, -1)
-        return (flat / np.maximum(np.linalg.norm(flat, axis=1, keepdims=True), 1e-9)).T.astype(np.float32)
+        self.length = np.linalg.norm(flat, axis=1)
+        return (flat / np.maximum(self.length[:, None], 1e-9)).T.astype(np.float32)
+
+    def _without_itself(self, cos: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Cosines in which the centroid of a text's own group is that of the group's other texts."""
+        at = np.flatnonzero(group >= 0)
+        length, own = self.length[group[at]], cos[at, group[at]]
+        rest = np.sqrt(np.maximum(length**2 - 2 * length * own + 1, 0))
+        cos[at, group[at]] = np.where(rest > 1e-3, (length * own - 1) / np.maximum(rest, 1e-3), 0)
+        return cos
 
     def cosines(self, row, dim, count, rows) -> np.ndarray:
         w = self._weights(row, dim, count, rows).astype(np.float32)
@@ -156,22 +218,38 @@ class Centroids:
         return np.stack([cos[:, self.of == k].max(axis=1) for k in range(len(self.languages))], axis=1)
 
 
+def _sampled(p: Languages):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for code, text in zip(batch.column("code").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                found = [s[2] for s in stretches(text, p.sentence) if s[3] >= p.sentence]
+                found = sorted(found, key=lambda x: xxhash.xxh3_64_intdigest(x))[: p.stretches]
+                yield pa.RecordBatch.from_arrays([pa.array([code] * len(found), pa.string()), pa.array(found, pa.string())], names=["code", "stretch"])
+
+    return run
+
+
 def fit(docs: DataFrame, text: str, label: str, p: Languages = Languages()) -> Centroids | None:
     """Centroids from the stretches of a bounded sample of labelled documents; labels may be wrong in part.
-    None if there is no labelled text."""
-    known = docs.select(F.col(text).alias("text"), label_code(F.col(label)).alias("code")).where("text is not null and code <> '?'")
-    place = F.row_number().over(Window.partitionBy("code").orderBy(F.xxhash64("text"), "text"))
-    rows = known.withColumn("place", place).where(F.col("place") <= p.labelled).select("code", "text").collect()
-    pairs = sorted((r["code"], s[2]) for r in rows for s in stretches(r["text"], p.sentence) if s[3] >= p.sentence)
+    Every label is a language, be its name known or not, if ``p.fewest`` documents bear it and its
+    stretches are nearer to one another than to those of other labels. Only labels and hashes are
+    counted over all documents; texts leave their place only if sampled. None if there is no labelled text."""
+    known = docs.select(F.col(text).alias("text"), label_code(F.col(label)).alias("code")).where("text is not null and code is not null")
+    held = known.groupBy("code").agg(F.count("*").alias("n")).where(F.col("n") >= p.fewest).orderBy(F.desc("n"), "code").limit(p.labels).collect()
+    if not held:
+        return None
+    shares = docs.sparkSession.createDataFrame([(r["code"], min(1 << 30, math.ceil((1 << 30) * p.labelled / r["n"]))) for r in held], "code string, upto long")
+    chosen = known.join(F.broadcast(shares), "code").where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("upto")).select("code", "text")
+    pairs = sorted({(r["code"], r["stretch"]) for r in chosen.mapInArrow(_sampled(p), "code string, stretch string").collect()})
     if not pairs:
         return None
-    return Centroids([x for _, x in pairs], [c for c, _ in pairs], p)
+    return Centroids([x for _, x in pairs], [c for c, _ in pairs], {r["code"]: r["n"] for r in held}, p)
 
 
 _SEGMENT = "struct<from:int,to:int,lang:string,confidence:double,words:int>"
 
 
-def _tag(model: Centroids | None, p: Languages):
+def _tag(model: Centroids | None, names: dict[str, str], p: Languages):
     kind = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("words", pa.int32())]))
 
     def confidence(cos: np.ndarray) -> np.ndarray:
@@ -183,8 +261,10 @@ def _tag(model: Centroids | None, p: Languages):
             for at, many in pieces(whole.column("text"), 400_000):
                 batch = whole.slice(at, many)
                 parts = [stretches(x, p.sentence) if x else [] for x in batch.column("text").to_pylist()]
-                flat = [s[2] for x in parts for s in x]
-                cos = model.near(flat) if model else np.zeros((len(flat), 1), np.float32)
+                # Sentences that recur are weighed once.
+                flat = pa.array([s[2] for x in parts for s in x], pa.string()).dictionary_encode()
+                cos = model.near(flat.dictionary.to_pylist()) if model else np.zeros((len(flat.dictionary), 1), np.float32)
+                cos = cos[np.asarray(flat.indices, np.int64)]
                 sure = confidence(cos)
                 size = np.array([s[3] for x in parts for s in x], np.float64)
                 langs, sures, segments, first = [], [], [], 0
@@ -206,7 +286,9 @@ def _tag(model: Centroids | None, p: Languages):
                         segments.append([(s[0], s[1], model.languages[k], float(q), s[3]) for s, k, q in zip(x, pick, chance, strict=True)])
                     first += len(x)
                 keys = ("from", "to", "lang", "confidence", "words")
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(langs, pa.string()), pa.array(sures, pa.float64()), pa.array([[dict(zip(keys, s, strict=True)) for s in x] for x in segments], kind), batch.column("label")], names=["id", "lang", "confidence", "segments", "label"])
+                codes = {x: code_of(x, names) for x in set(batch.column("label").to_pylist())}
+                labels = pa.array([codes[x] for x in batch.column("label").to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(langs, pa.string()), pa.array(sures, pa.float64()), pa.array([[dict(zip(keys, s, strict=True)) for s in x] for x in segments], kind), labels], names=["id", "lang", "confidence", "segments", "label"])
 
     return run
 
@@ -215,21 +297,24 @@ def languages(docs: DataFrame, doc_id: str, text: str, label: str, p: Languages
     """``doc_id, lang, confidence, segments, label``: the language of every document with a text, and of each
     of its stretches (character positions, from inclusive, to exclusive).
 
-    ``label`` is the delivered label's two-letter code: null if missing, '?' if of another
-    language. Stretches of fewer than ``p.sentence`` words, such as foreign terms, take the
+    ``label`` is the delivered label's two-letter code, or the label itself if it is no known
+    code or name; null if missing. Stretches of fewer than ``p.sentence`` words, such as foreign terms, take the
     document's language. A text far from all languages, or without letters, is ``und`` with
     confidence 0, and so is every text where no labels are to learn from; null texts give no row. Whole texts are read; nothing is shuffled.
     """
     model = model or fit(docs, text, label, p)
-    rows = spread(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), label_code(F.col(label)).alias("label"))).where("text is not null")
+    rows = spread(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(label).cast("string").alias("label"))).where("text is not null")
     kind = docs.schema[doc_id].dataType.simpleString()
-    return rows.mapInArrow(_tag(model, p), f"id {kind}, lang string, confidence double, segments array<{_SEGMENT}>, label string").withColumnRenamed("id", doc_id)
+    return rows.mapInArrow(_tag(model, known_names(), p), f"id {kind}, lang string, confidence double, segments array<{_SEGMENT}>, label string").withColumnRenamed("id", doc_id)
 
 
 def mislabelled(docs: DataFrame, doc_id: str, text: str, label: str, p: Languages = Languages()) -> DataFrame:
     """``doc_id, lang``: one row for each language held by a document whose label is missing or
-    wrong, or that holds a whole sentence in a second language."""
-    found = languages(docs, doc_id, text, label, p).where("lang <> 'und'")
+    wrong, or that holds a whole sentence in a second language. A document with words but
+    without a label, in none of the languages, comes out as ``und``; one with a label does not."""
+    found = languages(docs, doc_id, text, label, p)
     whole = F.filter("segments", lambda s: (s["words"] >= p.sentence) & (s["lang"] != "und"))
     held = F.array_union(F.array("lang"), F.transform(whole, lambda s: s["lang"]))
-    return found.select(doc_id, "lang", "label", held.alias("held")).where((F.size("held") > 1) | F.col("label").isNull() | (F.col("label") != F.col("lang"))).select(doc_id, F.explode("held").alias("lang"))
+    known = found.select(doc_id, "lang", "label", held.alias("held"), (F.size("segments") > 0).alias("some"))
+    wrong = F.when(F.col("lang") == "und", F.col("label").isNull() & F.col("some")).otherwise((F.size("held") > 1) | F.col("label").isNull() | (F.col("label") != F.col("lang")))
+    return known.where(wrong).select(doc_id, F.explode("held").alias("lang"))

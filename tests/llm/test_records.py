@@ -113,7 +113,23 @@ def test_rare_telling_words_stay_in_the_model(spark):
 def test_label_codes(spark):
     typed = ["EN", "en-GB", "ur_PK", "French", " Persian ", "in", "ms", "nl", "", None, "und", "unknown", "Bahasa Indonesia", "xyz"]
     got = [r.c for r in spark.createDataFrame([(x,) for x in typed], "l string").select(languages.label_code(F.col("l")).alias("c")).collect()]
-    assert got == ["en", "en", "ur", "fr", "fa", "id", "?", "?", None, None, None, None, "id", "?"]
+    assert got == ["en", "en", "ur", "fr", "fa", "id", "ms", "nl", None, None, None, None, "id", "xyz"]
+
+
+GERMAN = ("der Bauer,die Händlerin,der alte Richter,ein junger Schreiber,das Kind", "brachte,verkaufte,suchte,vergaß,zählte", "das Brot,die Bücher,den Schlüssel,einen langen Brief,das Wasser", "auf dem Markt,am frühen Morgen,vor der großen Mauer,weil es regnete,als die Sonne unterging")
+
+
+def test_a_language_of_no_list_is_learned_from_its_labels(spark):
+    rng = random.Random(1)
+    sentence = lambda: " ".join(rng.choice(x.split(",")) for x in GERMAN) + "."
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(90000 + i, " ".join(sentence() for _ in range(5)), rng.choice(["de", "German", "ger", "Deutsch"]), None, 0) for i in range(40)]
+    rows += [(91000 + i, f"The judge heard both parties and gave the verdict. {sentence()} The shepherd went home at once.", "en", None, 0) for i in range(5)]
+    rows += [(92000 + i, "The judge heard both parties and gave the verdict near the gate.", "xyz", None, 0) for i in range(4)]
+    rows += [(93000, "ᐊᐃᓐᓇ ᑕᒪᓐᓇ ᐅᖃᓕᒫᒐᖅ ᐊᑐᖅᑕᐅᔪᖅ ᓄᓇᕗᒻᒥ", None, None, 0)]
+    got = languages.mislabelled(docs.unionAll(spark.createDataFrame(rows, docs.schema)), "doc_id", "text", "lang").where("doc_id >= 90000").collect()
+    # German documents are right as they stand; the wrong label of English ones makes no language.
+    assert {tuple(r) for r in got} == {(91000 + i, x) for i in range(5) for x in ("en", "de")} | {(92000 + i, "en") for i in range(4)} | {(93000, "und")}
 
 
 def test_languages_held_out(spark):
@@ -124,7 +140,7 @@ def test_languages_held_out(spark):
     got = {r.doc_id: r for r in languages.languages(every, "doc_id", "text", "lang", model=model).collect()}
     assert 9002 not in got and got[9003].lang == "und" and got[9004].lang == "und"
     assert {s.lang for s in got[9001].segments} == {"en", "fr"}
-    right = [r for r in got.values() if r.label not in (None, "?") and r.doc_id % 2 and r.doc_id < 9000]
+    right = [r for r in got.values() if r.label is not None and r.doc_id % 2 and r.doc_id < 9000]
     assert sum(r.label == r.lang for r in right) >= 0.85 * len(right)
 
 
