@@ -183,4 +183,10 @@ def test_mix(spark):
     assert len({r.doc_id for r in rows}) == len(rows) and all(1 <= r.copies <= caps[r.source] for r in rows)
     assert abs(shares["a"].actual_share / shares["b"].actual_share - 0.6) < 0.05 and shares["gone"].mixed_tokens == 0
     assert abs(sum(r.actual_share for r in shares.values()) - 1) < 1e-9
+    # Without a total, the source with the least tokens for its share sets it, and all others reach theirs within a document.
+    report = {r.source: r for r in mixing.mix(df, "doc_id", "text", "source", targets, mixing.Mixture(block=16, shard=2000))[1].collect()}
+    total = min(report[s].tokens * caps[s] / report[s].target_share for s in caps) * 0.95
+    assert [s for s in caps if report[s].capped] == [min(caps, key=lambda s: report[s].tokens * caps[s] / report[s].target_share)]
+    assert all(abs(report[s].mixed_tokens - total * report[s].target_share / 0.95) <= 16 + 6 * (report[s].tokens // 2000 + 1) for s in caps)
+    assert mixing.mix(df.limit(0), "doc_id", "text", "source", targets)[0].count() == 0
     assert sorted(map(tuple, mixing.mix(df.repartition(7), "doc_id", "text", "source", targets, p)[0].collect())) == sorted(map(tuple, rows))
