@@ -31,13 +31,18 @@ def p6_canonical(spark: SparkSession, folder: str) -> DataFrame:
     return textform.with_forms(h.unionAll(o), "text").drop("text")
 
 
+#: Problem 7: two fifths of an item, in its order, in at most two stretches; shorter quotations are no case.
+QUOTED = leaks.Leaks(stretches=2, run=None, least=8)
+
+
 def p7_spans(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents with leaked items, the share of each item and the spans to remove."""
-    return leaks.leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "text")
+    """Documents with any leaked stretches, the share of each item and the spans of characters to remove."""
+    docs = table(spark, folder, "documents")
+    return leaks.in_characters(docs, "doc_id", "text", leaks.leaks(docs, "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "text"))
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p7_spans(spark, folder).select("doc_id", "item_id")
+    return leaks.leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "text", QUOTED).select("doc_id", "item_id")
 
 
 def p2_subjects(spark: SparkSession, folder: str) -> DataFrame:

@@ -110,12 +110,40 @@ def test_leaks(spark):
     rows = [(i, ", ".join(x)) for i, x in docs] + [(8, None), (9, "")]
     items = spark.createDataFrame([(77, " ".join(item)), (78, "too short"), (79, None)], "item_id long, text string")
     got = {r.doc_id: r for r in leaks.leaks(spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit(0)), "doc_id", "text", items, "item_id", "text").collect()}
-    assert set(got) == {1, 2, 4, 7} and all(r.item_id == 77 for r in got.values())
+    assert set(got) == {1, 2, 4, 5, 7} and all(r.item_id == 77 for r in got.values())
     assert [tuple(s) for s in got[1].spans] == [(20, 70)] and got[1].share == 1.0 and got[2].share == pytest.approx(29 / 50)
     assert leaks.leaks(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", items.limit(0), "item_id", "text").count() == 0
     assert leaks.leaks(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text", items, "item_id", "text").count() == 0
 
 
+def test_any_number_of_stretches_in_any_order(spark):
+    item = [f"i{k}" for k in range(60)]
+    pad = lambda n: [f"n{n}x{k}" for k in range(9)]
+    docs = {
+        "three": sum((pad(k) + item[20 * k : 20 * k + 10] for k in range(3)), []), "swapped": item[35:56] + pad(5) + item[:21], "in order": item[:14] + pad(6) + item[30:44],
+        "eight short": sum((pad(k) + item[7 * k : 7 * k + 7] for k in range(8)), []), "verbatim": pad(1) + item[10:32] + pad(2), "too little": pad(1) + item[10:22] + pad(2), "one place twice": pad(3) + item[:12] + pad(4) + item[:12],
+    }
+    frame = spark.createDataFrame([(k, " - ".join(x)) for k, x in docs.items()], "doc string, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = leaks.leaks(frame, "doc", "text", items, "item_id", "text")
+    got = {r.doc: r.share for r in found.collect()}
+    assert {k: round(v * 60) for k, v in got.items()} == {"three": 30, "swapped": 42, "in order": 28, "eight short": 56, "verbatim": 22}
+    strict = leaks.leaks(frame, "doc", "text", items, "item_id", "text", leaks.Leaks(stretches=2, run=None))
+    assert {r.doc for r in strict.collect()} == {"in order"}
+    texts = dict(frame.collect())
+    for r in leaks.in_characters(frame, "doc", "text", found).collect():
+        removed = [words_of(texts[r.doc][s["from"] : s["to"]]) for s in r.spans]
+        assert sorted(w for x in removed for w in x if w in item) == sorted(w for w in docs[r.doc] if w in item)
+
+
+def test_items_in_several_blocks_and_passes(spark):
+    items = [[f"i{n}w{k}" for k in range(20)] for n in range(11)]
+    frame = spark.createDataFrame([(n, " ".join(["x", *x, "y"])) for n, x in enumerate(items)], "doc long, text string")
+    asked = spark.createDataFrame([(str(n), " ".join(x)) for n, x in enumerate(items)], "item string, text string")
+    got = {tuple(r[:2]) for r in leaks.leaks(frame, "doc", "text", asked, "item", "text", leaks.Leaks(block=2, items=4)).collect()}
+    assert got == {(n, str(n)) for n in range(11)}
+
+
 def test_a_leak_in_most_documents_is_still_found(spark):
     item = [f"i{k}" for k in range(50)]
     rows = [(i, " ".join([f"n{i}"] + item)) for i in range(40)]
