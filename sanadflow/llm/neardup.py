@@ -20,20 +20,20 @@ from pyspark.sql import functions as F
 from sanadflow.llm.words import distinct_sorted, hashes, pieces, word_arrays
 from sanadflow.operators.graph import components
 from sanadflow.operators.pairs import expand_pairs
-from sanadflow.plans.layout import cut, hash128, spread, spread_by
+from sanadflow.plans.layout import cut, hash128, spread, spread_by, stored
 
 @dataclass(frozen=True)
 class MinHash:
     """Parameters. A pair of similarity s shares a band with probability
     ``1 - (1 - s**rows)**bands``: 0.94 at 0.6, 0.991 at 0.65, 0.9997 at 0.7 as set here.
     Candidates whose one-bit sketches differ in more than ``max_bits`` of 128 places are
-    not verified: at similarity 0.6 that is four standard deviations off."""
+    not verified: at similarity 0.6 that is four standard deviations off. None verifies all."""
 
     threshold: float = 0.6
     rows: int = 7
     bands: int = 96
     positions: int = 1 << 20
-    max_bits: int = 44
+    max_bits: int | None = 44
     seed: int = 20
 
 
@@ -114,7 +114,7 @@ def _bands(p: MinHash):
                 sig = signatures(words, ends - ends[0], p)
                 bits = sketch_bits(sig)
                 again = lambda x: pa.array(np.repeat(np.asarray(x), p.bands))
-                yield pa.RecordBatch.from_arrays([pa.array(band_keys(sig, p).ravel()), again(batch.column("c1")), again(batch.column("c2")), again(bits[:, 0]), again(bits[:, 1])], names=["band", "c1", "c2", "s1", "s2"])
+                yield pa.RecordBatch.from_arrays([pa.array(band_keys(sig, p).ravel()), again(batch.column("c1")), again(bits[:, 0]), again(bits[:, 1])], names=["band", "c1", "s1", "s2"])
 
     return run
 
@@ -122,17 +122,18 @@ def _bands(p: MinHash):
 def similar_classes(classes: DataFrame, p: MinHash) -> DataFrame:
     """Links between different sets of similarity ``p.threshold`` or more.
 
-    ``classes`` has ``c1, c2`` (the set's hash) and ``words``. Band rows carry hashes and a
-    128-bit sketch only; sets are fetched for the candidates that are left, and their
-    similarity is computed exactly. Result: ``c1_a, c2_a, c1_b, c2_b, similarity``.
+    ``classes`` has ``c1, c2`` (the set's hash) and ``words``. Band rows carry one hash and a
+    128-bit sketch only; sets are fetched for the candidates that are left (two sets that
+    happened to share the hash would both be), and their similarity is computed exactly.
+    Result: ``c1_a, c2_a, c1_b, c2_b, similarity``.
     """
-    bands = classes.mapInArrow(_bands(p), "band long, c1 long, c2 long, s1 long, s2 long")
-    a, b = (bands.select("band", *[F.col(c).alias(f"{c}_{x}") for c in ("c1", "c2", "s1", "s2")]) for x in "ab")
+    bands = classes.mapInArrow(_bands(p), "band long, c1 long, s1 long, s2 long")
+    a, b = (bands.select("band", *[F.col(c).alias(f"{c}_{x}") for c in ("c1", "s1", "s2")]) for x in "ab")
     apart = F.bit_count(F.col("s1_a").bitwiseXOR(F.col("s1_b"))) + F.bit_count(F.col("s2_a").bitwiseXOR(F.col("s2_b")))
-    ordered = (F.col("c1_a") < F.col("c1_b")) | (F.col("c1_a") == F.col("c1_b")) & (F.col("c2_a") < F.col("c2_b"))
-    candidates = a.join(b, "band").where(ordered & (apart <= p.max_bits)).select("c1_a", "c2_a", "c1_b", "c2_b").distinct()
+    candidates = a.join(b, "band").where(F.col("c1_a") < F.col("c1_b"))
+    candidates = (candidates if p.max_bits is None else candidates.where(apart <= p.max_bits)).select("c1_a", "c1_b").distinct()
     for x in "ab":
-        candidates = candidates.join(classes.select(F.col("c1").alias(f"c1_{x}"), F.col("c2").alias(f"c2_{x}"), F.col("words").alias(f"words_{x}")), [f"c1_{x}", f"c2_{x}"])
+        candidates = candidates.join(classes.select(F.col("c1").alias(f"c1_{x}"), F.col("c2").alias(f"c2_{x}"), F.col("words").alias(f"words_{x}")), f"c1_{x}")
     both = F.size(F.array_intersect("words_a", "words_b"))
     similarity = both / (F.size("words_a") + F.size("words_b") - both)
     return candidates.select("c1_a", "c2_a", "c1_b", "c2_b", similarity.alias("similarity")).where(F.col("similarity") >= p.threshold)
@@ -145,7 +146,7 @@ def _members(df: DataFrame, id_col: str, text: str, sets) -> tuple[DataFrame, Da
     kind = df.schema[id_col].dataType.simpleString()
     texts = spread(df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))).where("text is not null")
     rows = cut(texts.mapInArrow(_sets(sets), f"id {kind}, words array<long>").where(F.size("words") > 0).select("id", "words", *hash128(F.col("words"), "c")))
-    return rows.select("id", "c1", "c2"), spread_by(rows, "c1", "c2").dropDuplicates(["c1", "c2"]).select("c1", "c2", "words")
+    return rows.select("id", "c1", "c2"), spread_by(rows, "c1").dropDuplicates(["c1", "c2"]).select("c1", "c2", "words")
 
 
 def similar_pairs(df: DataFrame, id_col: str, text: str, p: MinHash = MinHash(), sets=word_sets) -> DataFrame:
@@ -169,7 +170,8 @@ def similar_groups(df: DataFrame, id_col: str, text: str, p: MinHash = MinHash()
     """
     members, classes = _members(df, id_col, text, sets)
     name = lambda x="": F.concat(F.hex(f"c1{x}"), F.lit("-"), F.hex(f"c2{x}"))
-    links = similar_classes(classes, p).select(name("_a").alias("a"), name("_b").alias("b"))
+    # Written once: degrees and components read it.
+    links = stored(similar_classes(classes, p).select(name("_a").alias("a"), name("_b").alias("b")))
     degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("class_id")).agg(F.count("*").alias("links"))
     groups = components(links).withColumnsRenamed({"node": "class_id", "component": "group_id"})
     rows = members.select("id", name().alias("class_id"))

@@ -76,6 +76,7 @@ def test_similar_pairs_equal_brute_force(spark, seed):
     df = spark.createDataFrame(texts, "entry long, x string").withColumn("id", F.lit("clash"))
     got = {tuple(r) for r in neardup.similar_pairs(df, "entry", "x").collect()}
     assert got <= truth and len(got) >= 0.98 * len(truth)
+    assert got <= {tuple(r) for r in neardup.similar_pairs(df, "entry", "x", neardup.MinHash(max_bits=None)).collect()} <= truth
     groups = neardup.similar_groups(df, "entry", "x").collect()
     assert len({r.id for r in groups}) == len(groups) == sum(map(bool, sets.values()))
 
