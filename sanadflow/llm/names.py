@@ -1,4 +1,9 @@
-"""Parts of a personal name as people type it: byname of a child (kunya), first name, father, origin, byname, year."""
+"""Parts of a personal name as people type it: byname of a child (kunya), first name, father, origin, byname, year.
+
+Words after a particle (ibn, abu, al- and their spellings) are what the particle says. Names without particles
+have the same parts: the first word is the first name, the last one the family's (``origin``), and what stands
+between them the middle one (``father``); 'Family, First' is turned round.
+"""
 
 from __future__ import annotations
 
@@ -34,6 +39,13 @@ _BRACKET = re.compile(r"[(\[]([^()\[\]]*)[)\]]?")
 _KNOWN = re.compile(r",?\s*\b(?:better\s+)?known as\s+", re.IGNORECASE)
 _SON = re.compile(r"\b(?:son|daughter) of\b", re.IGNORECASE)
 _SOUNDS = ((re.compile("sch"), "sh"), (re.compile("ou|oo|o"), "u"), (re.compile("ee|ei|e"), "i"), (re.compile("aa+"), "a"), (re.compile("uu+"), "u"), (re.compile("ii+"), "i"))
+# Short forms of first names that are no beginnings of them, and the names.
+NICKNAMES = (
+    "bill william, will william, bob robert, rob robert, dick richard, rick richard, ted edward, ned edward, jack john, jim james, tom thomas, tony anthony, peggy margaret, "
+    "meg margaret, betty elizabeth, liz elizabeth, beth elizabeth, kate katherine, sue susan, molly mary, polly mary, harry henry, hank henry, joe joseph, mike michael, dave david, pepe jose, paco francisco"
+)
+# Words that begin a description of somebody without a name.
+NOBODY = {"a", "an", "the", "his", "her", "my", "our", "their", "one", "some", "someone", "somebody", "another", "people"}
 _IBN = {"ibn", "bin", "bn", "b", "ben", "bint"}
 _ABU = {"abu", "abi", "abou", "aboo", "abo", "umm"}
 _AL = {"al", "el", "ul"}
@@ -72,6 +84,25 @@ def _tokens(text: str) -> list[str]:
 
 
 _MARK = {"ibn", "abu", "al", ","}
+_FULL = {spelling(a): spelling(b) for a, b in (x.split() for x in NICKNAMES.split(", "))}
+
+
+def _plain(text: str) -> Name:
+    """A name without particles: first, middle and family name, the family's first if a comma follows it.
+    Words without a capital beside others with one are no names."""
+    words = text.split()
+    if any(x[:1].isupper() for x in words):
+        words = [x for x in words if not x[:1].islower()]
+    elif words and words[0] in NOBODY:
+        words = []
+    parts = [x.split() for x in " ".join(_tokens(" ".join(words))).split(" , ")]
+    parts = [x for x in ([t for t in p if t != ","] for p in parts) if x]
+    if len(parts) > 1:
+        parts = [[*parts[1], *(t for p in parts[2:] for t in p), *parts[0]]]
+    if not parts:
+        return Name()
+    given, *rest = parts[0]
+    return Name(given=_FULL.get(given, given), father=" ".join(rest[:-1]), origin=rest[-1] if rest else "")
 
 
 def _unglue(tokens: list[str]) -> list[str]:
@@ -110,6 +141,8 @@ def parse(value: str | None) -> Name:
             byname = t[1]
     kunya = given = father = origin = ""
     tokens = _unglue(_tokens(text))
+    if not _MARK.intersection(tokens) - {","}:
+        return _plain(text)._replace(byname=byname, year=year)
     for part in " ".join(tokens).split(" , "):
         t, i = part.split(), 0
         first = True
@@ -127,8 +160,11 @@ def parse(value: str | None) -> Name:
                 i += 2
             elif now in _MARK:
                 i += 1
+            elif not given:
+                given, i = now, i + 1
             else:
-                given, i = given or now, i + 1
+                # A further word: a middle name, or the family's if the father is known.
+                father, origin, i = father or now, (origin or now) if father else origin, i + 1
             first = False
     return Name(kunya, given, father, origin, byname, year)
 
@@ -165,6 +201,18 @@ def keys(n: Name) -> list[str]:
     return sorted(out)
 
 
+def initial_keys(n: Name, asked: bool) -> list[str]:
+    """Keys of a name of one whole part and an initial, such as 'J. Smith' (``asked``), and of whole names that it may stand for."""
+    parts = dict(zip("kgfob", n[:5], strict=True))
+    short = sum(len(x) > 1 for x in n[:5]) == 1
+    out = set()
+    for x in "gf":
+        for y, b in parts.items():
+            if y != x and parts[x] and len(b) > 1 and (len(parts[x]) == 1 and short if asked else len(parts[x]) > 1):
+                out.add(f"i{x}{y}:{parts[x][0]}|{b}")
+    return sorted(out)
+
+
 MISSING, OTHER, INITIAL, NEAR, EQUAL = range(5)
 
 
