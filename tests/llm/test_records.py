@@ -61,6 +61,36 @@ def test_variants_of_names(spark):
     assert people.same_person_pairs(df.limit(0), "nr").count() == 0
 
 
+def test_names_of_any_form(spark):
+    typed = ["John Smith"] * 3 + ["Narrated John Smith", "Jon Smith", "J. Smith", "Smith, John", "Maria Lopez Garcia", "Reported by Maria Lopez Garcia", "Maria Lopes Garcia", "Bill Harrison", "William Harrison", "His father", "A man", "Ann Lee", "An Li"]
+    got = {tuple(r) for r in people.same_person_pairs(spark.createDataFrame([(v,) for v in typed], "nr string"), "nr").collect()}
+    groups = [["John Smith", "Narrated John Smith", "Jon Smith", "J. Smith", "Smith, John"], ["Maria Lopez Garcia", "Reported by Maria Lopez Garcia", "Maria Lopes Garcia"], ["Bill Harrison", "William Harrison"]]
+    assert got == {(a, b) for g in groups for a in g for b in g if a < b}
+
+
+def test_no_chain_of_neighbours(spark):
+    # Each name one edit from the next, all frequent and borne by several families: none is a misspelling.
+    given = ["Karim", "Karin", "Kazin", "Kazif"]
+    typed = [f"{x}{g} ibn {f} al-Basri" for g in given for f in ("Malik", "Salim", "Yunus", "Hamdan", "Idris") for x in ("", "Narrated ", "Reported by ", "From ")]
+    got = {tuple(r) for r in people.same_person_pairs(spark.createDataFrame([(v,) for v in typed], "nr string"), "nr").collect()}
+    assert got and all(names.parse(a)[:4] == names.parse(b)[:4] for a, b in got)
+
+
+def test_match_and_non_match_probabilities_are_estimated():
+    rng = random.Random(3)
+    counts = {}
+    for i in range(20000):
+        match = rng.random() < 0.6
+        odd = None if match else rng.choice([1, 2, 3])
+        pattern = tuple(rng.choices([names.OTHER, names.NEAR, names.EQUAL], [0.95, 0.04, 0.01] if f == odd else [0.005, 0.1, 0.895])[0] if f in (1, 2, 3) and rng.random() < 0.9 else names.MISSING for f in range(6))
+        counts.setdefault(pattern, [0, 0])[match] += 1
+    odds = people.estimate(sorted((k, sum(v)) for k, v in counts.items()), [(0.01, 0.05)] * 6, people.Linkage())
+    right = sum(v[odds[k] > 0] for k, v in counts.items())
+    assert right >= 0.995 * sum(max(v) for v in counts.values())
+    off = [abs(1 / (1 + 2.718281828 ** -odds[k]) - v[1] / sum(v)) for k, v in counts.items() if sum(v) > 500]
+    assert max(off) < 0.2
+
+
 def test_linked_biographies(spark):
     df = spark.createDataFrame([(v,) for v in VALUES], "nr string")
     bios = spark.createDataFrame(
