@@ -51,7 +51,8 @@ def p2_subjects(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p2_subjects(spark, folder).select("row_id", "topic")
+    """At least two sentences treat the topic, so a text of one sentence is no case."""
+    return subjects.subjects(table(spark, folder, "hadith"), "row_id", "x", "t", table(spark, folder, "topic_lexicon"), subjects.Subjects(fewer=False)).select("row_id", "topic")
 
 
 def p2_makeup(spark: SparkSession, folder: str) -> DataFrame:

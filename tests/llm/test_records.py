@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,10 +137,38 @@ def test_rare_telling_words_stay_in_the_model(spark):
         rows.append((i, text, [about] if about else []))
     df = spark.createDataFrame(rows, "row_id long, x string, t array<string>")
     lexicon = spark.createDataFrame([(t, k, w) for k, t in enumerate(words) for w in words[t]], "topic string, topic_ord int, keyword string")
-    got = {(r.row_id, r.topic) for r in subjects.subjects(df, "row_id", "x", "t", lexicon, subjects.Subjects(words=len(common))).collect()}
+    got = {(r.row_id, r.topic) for r in subjects.subjects(df, "row_id", "x", "t", lexicon).collect()}
     assert got == {(i, t[0]) for i, _, t in rows if t}
 
 
+def test_one_sentence_can_be_about_a_subject(spark):
+    rng = random.Random(4)
+    sets = {"Fire": "flame ash ember smoke hearth coal".split(), "Rain": "cloud storm puddle thunder drizzle flood".split()}
+    rows = []
+    for i in range(600):
+        about = rng.choice(["Fire", "Rain", None])
+        words = rng.sample(sets[about], 3) if about else rng.sample(["road", "wall", "gate", "mule"], 3)
+        text = [f"{words[0].capitalize()} and {words[1]} came near the {words[2]}."] * (1 if i % 3 else 2)
+        rows.append((i, " ".join(text), [about] if about and rng.random() < 0.8 else []))
+    rows += [(901, "Ember, ash and coal glowed.", None), (902, "EMBER, ASH AND COAL GLOWED", None)]
+    df = spark.createDataFrame(rows, "row_id long, x string, t array<string>")
+    lexicon = spark.createDataFrame(LEXICON, "topic string, topic_ord int, keyword string")
+    got = {(r.row_id, r.topic) for r in subjects.subjects(df, "row_id", "x", "t", lexicon).collect()}
+    truth = {(i, t) for i, x, _ in rows for t, s in sets.items() if any(w in x.lower() for w in s)}
+    assert got == truth
+    two = {r.row_id for r in subjects.subjects(df, "row_id", "x", "t", lexicon, subjects.Subjects(fewer=False)).collect()}
+    assert two == {i for i, _ in truth if i < 900 and i % 3 == 0}
+
+
+def test_calibration_is_of_each_subject():
+    rng = np.random.default_rng(0)
+    best = rng.normal(0, 4, (4000, 3)).astype(np.float32)
+    cut = np.array([-2.0, 0.0, 3.0])
+    truth = (rng.random(best.shape) < 1 / (1 + np.exp(-(best - cut)))).astype(np.float32)
+    fitted = subjects._calibrated(best, truth, 5.0, subjects.Subjects())
+    assert np.allclose(-fitted[:, 0] / fitted[:, 1], cut, atol=0.5)
+
+
 def test_label_codes(spark):
     typed = ["EN", "en-GB", "ur_PK", "French", " Persian ", "in", "ms", "nl", "", None, "und", "unknown", "Bahasa Indonesia", "xyz"]
     got = [r.c for r in spark.createDataFrame([(x,) for x in typed], "l string").select(languages.label_code(F.col("l")).alias("c")).collect()]
