@@ -201,10 +201,8 @@ def topic_share_check(spark, folder):
 
 @query(
     f"""WITH q AS MATERIALIZED (SELECT item_id AS id, {_latin("text")} AS t FROM eval_items), c AS MATERIALIZED (SELECT doc_id AS cand, {_latin("text")} AS t FROM documents),
-cw AS MATERIALIZED (SELECT cand, unnest(t) AS w FROM c), df AS (SELECT w, count(*) AS df FROM cw GROUP BY 1 HAVING count(*) <= 500),
-mine AS MATERIALIZED (SELECT id, w FROM (SELECT id, q.w, row_number() OVER (PARTITION BY id ORDER BY df, q.w) AS r FROM (SELECT id, unnest(t) AS w FROM q WHERE len(t) >= 4) q JOIN df ON df.w = q.w) WHERE r <= 6),
-pair AS MATERIALIZED (SELECT DISTINCT id, cand FROM mine JOIN cw ON mine.w = cw.w),
-scored AS (SELECT id, cand, greatest(i / (a + b - i), i / least(a, b) * 0.9) AS s FROM (SELECT p.id, p.cand, len(list_intersect(q.t, c.t))::DOUBLE AS i, len(q.t) AS a, len(c.t) AS b FROM pair p JOIN q ON q.id = p.id JOIN c ON c.cand = p.cand)),
+common AS (SELECT m.id, w.cand, count(*)::DOUBLE AS i FROM (SELECT id, unnest(t) AS w FROM q WHERE len(t) >= 4) m JOIN (SELECT cand, unnest(t) AS w FROM c) w ON m.w = w.w GROUP BY 1, 2),
+scored AS (SELECT p.id, p.cand, greatest(i / (len(q.t) + len(c.t) - i), i / least(len(q.t), len(c.t)) * 0.9) AS s FROM common p JOIN q ON q.id = p.id JOIN c ON c.cand = p.cand),
 best AS (SELECT id, cand, s FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, cand) AS r FROM scored) WHERE r = 1)
 SELECT q.id, CASE WHEN len(q.t) < 4 THEN 'too short to match' WHEN s >= 0.45 THEN 'matched' ELSE 'no confident match' END AS label, CASE WHEN s >= 0.45 THEN cand::VARCHAR END AS match, CASE WHEN len(q.t) >= 4 THEN round(coalesce(s, 0), 9) END AS score FROM q LEFT JOIN best ON best.id = q.id"""
 )
@@ -466,8 +464,7 @@ def _drained(spark: SparkSession, stream: DataFrame) -> DataFrame:
 
     from sanadflow.plans.layout import checkpoint_dir
 
-    checkpoint_dir(spark)
-    at = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    at = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     run = stream.writeStream.format("parquet").option("path", f"{at}/rows").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     run.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{at}/rows")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -32,15 +34,23 @@ def spread_by(df: DataFrame, *keys: str, per_core: int = 2) -> DataFrame:
     return df.repartition(tasks(df.sparkSession, per_core), *keys)
 
 
-def checkpoint_dir(spark: SparkSession) -> None:
-    """Make sure that ``checkpoint()`` has a folder all executors share.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """Make sure that ``checkpoint()`` has a folder all executors share, and return it.
 
-    The cluster's ``spark.checkpoint.dir`` wins; a local folder is set only where
-    the session names none, as in tests on one machine.
+    The cluster's ``spark.checkpoint.dir`` wins. A local folder is set only where the session names
+    none and all of it runs on this machine, as in tests; it is removed when Python ends.
+    On a cluster a session without a shared folder is an error, as every machine would write to its own disk.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sanadflow-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None:
+            if not sc.master.split("[")[0] == "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="sanadflow-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -51,13 +61,24 @@ def cut(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame) -> DataFrame:
     """Like :func:`cut`, as a parquet table in the same shared folder: smaller, and readers
-    take only the columns they need. Its folder is new for each call and is left to whoever
-    clears the checkpoint folder."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    take only the columns they need. Its folder is new for each call; :func:`clear_stored` removes all of them."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_stored(spark: SparkSession) -> int:
+    """Remove the tables that :func:`stored` has left in this session's folder, and return their number. For between
+    queries: what still reads one of them fails afterwards."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        return 0
+    here = sc._jvm.org.apache.hadoop.fs.Path(sc.getCheckpointDir())
+    files = here.getFileSystem(sc._jsc.hadoopConfiguration())
+    left = [f.getPath() for f in files.listStatus(here) if f.getPath().getName().startswith("table-")] if files.exists(here) else []
+    for path in left:
+        files.delete(path, True)
+    return len(left)
 
 
 def hash128(col: Column, name: str = "h") -> list[Column]:
