@@ -9,18 +9,18 @@ from pyspark.sql import functions as F
 from sanadflow.functions.names import DEGENERATE, arabic_part, clean_name, generation, is_generic, latin_part, match_key, tokens
 from sanadflow.functions.text import blank_markers, title_case, tolerant_int
 from sanadflow.operators.graph import components
-from sanadflow.plans.layout import spread, stored
+from sanadflow.plans.layout import spread, spread_by, stored
 
 
 def named(df: DataFrame, ord_: str, narrator: str, collection: str, topics: str, grade: str) -> DataFrame:
     """``ord, raw, name, key, collection, topics, grade`` of every row whose narrator can be named.
 
-    Written once, in the shared folder: many counts read it, and cleaning a name takes some
-    sixty patterns."""
-    name = clean_name(F.col("raw"))
+    Cleaning a name takes some sixty patterns, so it is done once for each distinct one. The result is
+    written once, in the shared folder: many counts read it."""
     rows = spread(df.select(ord_, narrator, collection, topics, grade)).select(F.col(ord_).alias("ord"), F.trim(narrator).alias("raw"), F.col(collection).alias("collection"), F.col(topics).alias("topics"), F.col(grade).alias("grade"))
-    rows = rows.withColumn("name", name).where(F.length("name") >= 3)
-    return stored(rows.withColumn("key", match_key(F.col("name"))).where(F.length("key") >= 3))
+    typed = spread_by(rows.select("raw").where("raw is not null").distinct(), "raw").withColumn("name", clean_name(F.col("raw"))).where(F.length("name") >= 3)
+    typed = stored(typed.withColumn("key", match_key(F.col("name"))).where(F.length("key") >= 3))
+    return stored(rows.join(typed, "raw").select("ord", "raw", "name", "key", "collection", "topics", "grade"))
 
 
 def clusters(rows: DataFrame) -> DataFrame:
@@ -66,38 +66,88 @@ def _fold(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": list(ends), "final": list(ends.values())}, dtype=object)
 
 
-def merge_short_forms(keys: DataFrame) -> DataFrame:
+def merge_short_forms(keys: DataFrame, group: int = 100_000) -> DataFrame:
     """``key, final`` for every name: the name it is merged into, itself if none.
 
     Sizes grow while names merge, so the order (frequency, then first place) matters; it is
     kept within each connected group of names, and groups do not touch one another.
     A short form goes to its only expansion if that has 0.4 of its size, or to one of several
-    if it has three times the size of the next.
+    if it has three times the size of the next. Groups of up to ``group`` pairs are folded in one task each; larger
+    ones, such as those that common first names hold together, in rounds over all tasks (:func:`_fold_in_rounds`).
     """
     edges = stored(expansions(keys))
-    group = components(edges, "short", "long").withColumnRenamed("node", "short")
+    # So few pairs that one task may hold them all need not be told apart first.
+    few = edges.count() <= group
+    groups = edges.select("short", F.lit("").alias("component")).distinct() if few else components(edges, "short", "long").withColumnRenamed("node", "short")
     sides = [keys.select(F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("first_ord").alias(f"first_{x}")) for x in ("short", "long")]
-    rows = edges.join(sides[0], "short").join(sides[1], "long").join(group, "short")
-    merged = rows.groupBy("component").applyInPandas(_fold, "key string, final string")
+    rows = stored(edges.join(sides[0], "short").join(sides[1], "long").join(groups, "short"))
+    if few:
+        merged = rows.groupBy("component").applyInPandas(_fold, "key string, final string")
+        return keys.select("key").join(merged, "key", "left").select("key", F.coalesce("final", "key").alias("final"))
+    large = rows.groupBy("component").agg(F.count("*").alias("pairs")).where(F.col("pairs") > group).select("component")
+    merged = rows.join(large, "component", "left_anti").groupBy("component").applyInPandas(_fold, "key string, final string")
+    rest = rows.join(large, "component", "left_semi")
+    if not large.isEmpty():
+        merged = merged.unionByName(_fold_in_rounds(rest))
     return keys.select("key").join(merged, "key", "left").select("key", F.coalesce("final", "key").alias("final"))
 
 
-def _ranked(rows: DataFrame, value: str, name: str, key: str = "key") -> DataFrame:
-    """``key, name``: values with their counts, most frequent first, earlier seen first among equals."""
-    counted = rows.where(F.col(value).isNotNull()).groupBy(key, F.col(value).alias("v")).agg(F.count("*").alias("c"), F.min("ord").alias("o"))
-    listed = counted.groupBy(key).agg(F.array_sort(F.collect_list(F.struct((-F.col("c")).alias("m"), "o", "v"))).alias("l"))
-    return listed.select(key, F.transform("l", lambda x: F.struct(x["v"].alias("value"), (-x["m"]).alias("count"))).alias(name))
+def _fold_in_rounds(rows: DataFrame) -> DataFrame:
+    """``key, final`` of the merged short forms, as :func:`_fold` has them, without a task for a whole group.
+
+    A short form waits for the earlier ones that could change what it sees: those that share an expansion with it
+    (at most six short forms have one), those that are its expansions, and those of which it is one.
+    In each round all that wait for nobody are decided at once.
+    """
+    edges = stored(rows.select("short", "long"))
+    sides = [rows.select(F.col(x).alias("key"), F.col(f"n_{x}").alias("size"), F.col(f"first_{x}").alias("first")) for x in ("short", "long")]
+    size = stored(sides[0].unionByName(sides[1]).distinct())
+    rank = size.join(edges.select(F.col("short").alias("key")).distinct(), "key").select("key", F.struct((-F.col("size")).alias("m"), "first", "key").alias("rank"))
+    x, y = (edges.select(F.col("short").alias(n), "long") for n in ("s", "t"))
+    touch = x.join(y, "long").select("s", "t").union(edges.select(F.col("short").alias("s"), F.col("long").alias("t"))).union(edges.select(F.col("long").alias("s"), F.col("short").alias("t")))
+    waits = touch.where("s <> t").distinct().join(rank.select(F.col("key").alias("s"), F.col("rank").alias("r_s")), "s").join(rank.select(F.col("key").alias("t"), F.col("rank").alias("r_t")), "t")
+    waits = stored(waits.where("r_t < r_s").select("s", "t"))
+    open_ = stored(rank.select("key"))
+    into = rows.sparkSession.createDataFrame([], "key string, target string")
+    while not open_.isEmpty():
+        ready = stored(open_.join(waits.join(open_.select(F.col("key").alias("t")), "t", "left_semi").select(F.col("s").alias("key")), "key", "left_anti"))
+        mine = edges.join(ready.select(F.col("key").alias("short")), "short", "left_semi").join(into.select(F.col("key").alias("long")), "long", "left_anti")
+        seen = mine.join(size.select(F.col("key").alias("long"), F.struct((-F.col("size")).alias("m"), "first", F.col("key").alias("k")).alias("v")), "long")
+        best = seen.groupBy("short").agg(F.min("v").alias("one"))
+        second = seen.join(best, "short").where(F.col("v") != F.col("one")).groupBy("short").agg(F.min("v.m").alias("two"))
+        own = size.select(F.col("key").alias("short"), "size")
+        chosen = best.join(second, "short", "left").join(own, "short")
+        chosen = chosen.where((F.col("two").isNull() | (-F.col("one.m") >= -3 * F.col("two"))) & (-F.col("one.m") >= 0.4 * F.col("size")))
+        chosen = stored(chosen.select(F.col("short").alias("key"), F.col("one.k").alias("target"), "size"))
+        grown = chosen.groupBy(F.col("target").alias("key")).agg(F.sum("size").alias("more"))
+        size = stored(size.join(grown, "key", "left").select("key", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size"), "first"))
+        into = stored(into.unionByName(chosen.select("key", "target")))
+        open_ = stored(open_.join(ready, "key", "left_anti"))
+    at = into.select("key", F.col("target").alias("final"))
+    while True:
+        onward = at.select(F.col("key").alias("final"), F.col("final").alias("end"))
+        further = at.join(onward, "final", "left")
+        if further.where("end is not null").isEmpty():
+            return at
+        at = stored(further.select("key", F.coalesce("end", "final").alias("final")))
 
 
 def rollup(rows: DataFrame, support: int = 3) -> DataFrame:
     """One row a person with at least ``support`` narrations: ``key, n, first_ord, name, variants`` (4),
-    ``raw`` (all), ``cols`` and ``topics`` (6), most frequent first, and ``sahih``, the sound ones."""
-    # Each dimension is counted apart, so topics never multiply the rows that are counted.
-    out = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("ord").alias("first_ord"), F.count_if(F.col("grade").startswith("Sahih")).alias("sahih")).where(F.col("n") >= support)
-    topic = rows.select("key", "ord", F.explode("topics").alias("topic"))
-    for value, name, source in (("name", "_names", rows), ("raw", "_raw", rows), ("collection", "_cols", rows), ("topic", "_topics", topic)):
-        out = out.join(_ranked(source, value, name), "key", "left")
-    return out.select("key", "n", "first_ord", title_case(F.col("_names")[0]["value"]).alias("name"), _values("_names", 4).alias("variants"), _values("_raw").alias("raw"), F.coalesce("_cols", F.array().cast("array<struct<value:string,count:bigint>>")).alias("cols"), _values("_topics", 6).alias("topics"), "sahih")
+    ``raw`` (all), ``cols`` and ``topics`` (6), most frequent first, earlier seen first among equals, and ``sahih``, the sound ones."""
+    # Every row gives one fact of each kind and one of each of its topics; facts are counted before they meet by person.
+    one = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+    facts = F.array(one("row", F.when(F.col("grade").startswith("Sahih"), F.lit("sahih")).otherwise(F.lit(""))), *(one(c, F.col(c)) for c in ("name", "raw", "collection")))
+    facts = F.concat(facts, F.transform(F.coalesce("topics", F.array().cast("array<string>")), lambda t: one("topic", t)))
+    counted = rows.select("key", "ord", F.explode(facts).alias("f")).groupBy("key", "f.kind", "f.value").agg(F.count("*").alias("c"), F.min("ord").alias("o"))
+    row = F.col("kind") == "row"
+    ranked = lambda kind: F.array_sort(F.collect_list(F.when((F.col("kind") == kind) & F.col("value").isNotNull(), F.struct((-F.col("c")).alias("m"), "o", "value"))))
+    out = counted.groupBy("key").agg(
+        F.sum(F.when(row, F.col("c"))).alias("n"), F.min(F.when(row, F.col("o"))).alias("first_ord"), F.coalesce(F.sum(F.when(row & (F.col("value") == "sahih"), F.col("c"))), F.lit(0)).alias("sahih"),
+        *(ranked(kind).alias(name) for kind, name in (("name", "_names"), ("raw", "_raw"), ("collection", "_cols"), ("topic", "_topics"))),
+    ).where(F.col("n") >= support)
+    cols = F.transform("_cols", lambda x: F.struct(x["value"].alias("value"), (-x["m"]).alias("count")))
+    return out.select("key", "n", "first_ord", title_case(F.get("_names", F.lit(0))["value"]).alias("name"), _values("_names", 4).alias("variants"), _values("_raw").alias("raw"), cols.alias("cols"), _values("_topics", 6).alias("topics"), "sahih")
 
 
 def _values(column: str, most: int | None = None) -> Column:
@@ -137,11 +187,11 @@ def pick_biography(keys: DataFrame, bios: DataFrame) -> DataFrame:
     Refused, in this order: several people share the form; none in the source; the name is
     too generic; no candidate has a death year; the years disagree; the year does not fit
     the generation; a Companion dead before 20. Of several candidates of one year the first
-    by ``idx`` is taken.
+    by ``idx`` is taken, as a number where it is one.
     """
     own = [c for c in bios.columns if c != "key"]
     held = bios.withColumn("_dated", F.col("death_h").isNotNull())
-    first = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("_dated"), "idx"))
+    first = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("_dated"), F.col("idx").try_cast("long").asc_nulls_last(), "idx"))
     one = held.withColumn("_r", first).where("_r = 1").drop("_r", "_dated")
     years = bios.groupBy("key").agg(F.count("death_h").alias("_dated"), F.count_distinct("death_h").alias("_years"))
     found = unique_prefix(keys, bios).join(one.join(years, "key").withColumnRenamed("key", "match"), "match", "left")

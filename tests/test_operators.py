@@ -250,3 +250,20 @@ def test_facets_and_gates(spark):
         facets.gate(df, facets.is_weak(F.col("g")), "weak")
     report = facets.expectations(spark.createDataFrame([("n", 9.0)], "name string, value double"), spark.createDataFrame([("n", 10.0, 0.1), ("m", 1.0, 0.5)], "name string, expected double, tolerance double"))
     assert {r.name: r.ok for r in report.collect()} == {"n": True, "m": False}
+
+
+def test_a_long_chain_of_duplicates_settles(spark):
+    rows = [(scope, i, [f"w{4 * i + k}" for k in range(16)]) for scope in ("s", None) for i in range(400)]
+    got = {(r.scope, r.ord): r.status for r in dedupe.merge_duplicates(spark.createDataFrame(rows, "scope string, ord long, tokens array<string>")).collect()}
+    # Each record is similar to its two neighbours alone: every other one is kept.
+    assert got == {(s, i): "merged" if i % 2 else "kept" for s, i, _ in rows}
+    assert got == {(r.scope, r.ord): r.status for r in dedupe.merge_duplicates(spark.createDataFrame(rows[:12], "scope string, ord long, tokens array<string>"), group=0).collect()} | {k: v for k, v in got.items() if k[0] is None or k[1] >= 12}
+
+
+def test_short_forms_in_rounds_equal_those_in_one_task(spark):
+    rng = random.Random(5)
+    words = ["muhammad", "ali", "hasan", "umar", "salim", "zayd"]
+    keys = {" ibn ".join(rng.choice(words) for _ in range(rng.randrange(1, 4))) for _ in range(150)} | {f"ibn {w}" for w in words}
+    df = spark.createDataFrame([(k, rng.randrange(1, 60), i) for i, k in enumerate(sorted(keys))], "key string, n long, first_ord long")
+    found = [sorted(map(tuple, people.merge_short_forms(df, group).collect())) for group in (100_000, 3, 0)]
+    assert found[0] == found[1] == found[2] and any(a != b for a, b in found[0])
