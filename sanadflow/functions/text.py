@@ -83,6 +83,11 @@ def is_attributed(col: Column, profile: Profile = CORPUS, whole_cues: bool = Fal
     return text.rlike("|".join(profile.markers)) & text.rlike(f"(^|[^{profile.words}])({cues})($|[^{profile.words}])" if whole_cues else cues)
 
 
+def is_attributed_by(narrator: Column, text: Column, profile: Profile = CORPUS, whole_cues: bool = False) -> Column:
+    """:func:`is_attributed` of the narrator's field and the text together, as some collections keep the chain in the former."""
+    return is_attributed(F.concat_ws(" ", narrator, text), profile, whole_cues)
+
+
 def jaccard(a: Column, b: Column) -> Column:
     both = F.size(F.array_intersect(a, b)).cast("double")
     return F.when(F.size(a) + F.size(b) > 0, both / (F.size(a) + F.size(b) - both))

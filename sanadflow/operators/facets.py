@@ -22,6 +22,20 @@ def contains_text(query: str, *columns: str) -> Column:
     return F.lower(F.concat_ws("\n", *columns)).contains(low)
 
 
+def search_articles(articles: DataFrame, query: str) -> DataFrame:
+    """Articles whose title, subtitle, summary, headings or paragraphs hold the query, whatever its case."""
+    sections = F.flatten(F.transform("chapters", lambda c: F.coalesce(c["sections"], F.array())))
+    inside = F.array_join(F.transform(sections, lambda s: F.concat_ws("\n", s["heading"], s["paras"])), "\n")
+    titles = F.array_join(F.transform("chapters", lambda c: F.concat_ws("\n", c["title"], c["blurb"])), "\n")
+    whole = F.concat_ws("\n", "title", "subtitle", "kicker", "summary", titles, inside)
+    return articles.where(F.lower(whole).contains(query.lower()))
+
+
+def search_people(index: DataFrame, query: str) -> DataFrame:
+    """People whose name, other script's name or any spelling holds the query, whatever its case."""
+    return index.where(contains_text(query, "name", "ar", "variants", "raw"))
+
+
 def tier_filter(grade: Column, tier: str) -> Column:
     """'both', 'graded' or 'ungraded': whether any grade is on record."""
     known = F.coalesce(~grade.isin(*NO_GRADE), F.lit(False))

@@ -213,3 +213,15 @@ def people_index(rows: DataFrame, bios: DataFrame, support: int = 3) -> DataFram
     out = out.withColumn("name", F.coalesce(F.nullif("en", F.lit("")), F.col("name"))).withColumn("place", place).withColumn("gen", F.col("_g.label")).withColumn("rank", F.col("_g.rank"))
     out = out.select("key", "name", F.coalesce("ar", F.lit("")).alias("ar"), "n", "cols", "topics", "sahih", "death_h", "death_g", "gen", "rank", "place", F.when(F.col("reason").isNull(), "biographies").alias("bio_source"), "variants", "raw", "first_ord", "reason")
     return out.orderBy(F.col("death_h").asc_nulls_last(), "rank", F.desc("n"), "first_ord")
+
+
+def people_report(index: DataFrame, rows: int, top: int = 20) -> DataFrame:
+    """``part, place, label, n``: totals of an index over ``rows`` rows, why biographies were refused, and the ``top`` people by narrations."""
+    sums = index.agg(F.count("*").alias("people"), F.count("bio_source").alias("with a biography"), F.count("death_h").alias("with a death year"), F.coalesce(F.sum("n"), F.lit(0)).alias("narrations covered"))
+    names = ("people", "with a biography", "with a death year", "narrations covered")
+    totals = sums.select(F.posexplode(F.array(*[F.struct(F.lit(x).alias("label"), F.col(x).cast("long").alias("n")) for x in names], F.struct(F.lit("narrations").alias("label"), F.lit(rows).cast("long").alias("n")))).alias("place", "e"))
+    refused = index.where("reason is not null").groupBy(F.col("reason").alias("label")).agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.orderBy(F.desc("n"), "label")) - 1
+    label = F.concat_ws("  ", F.coalesce(F.concat(F.lit("d."), F.col("death_h").cast("string"), F.lit("H")), F.lit("-")), "gen", F.substring("name", 1, 46))
+    best = index.orderBy(F.desc("n"), "first_ord").limit(top).select(label.alias("label"), "n", "first_ord").withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "first_ord")) - 1)
+    return totals.select(F.lit("totals").alias("part"), "place", "e.label", "e.n").unionByName(refused.select(F.lit("refused").alias("part"), rank.alias("place"), "label", "n")).unionByName(best.select(F.lit("top").alias("part"), "place", "label", "n"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,8 @@ from sanadflow.functions import names as N
 from sanadflow.functions import text as X
 from sanadflow.functions.profiles import CORPUS, LATIN, VERDICT
 from sanadflow.operators import dedupe, facets, match, people, references, topics
-from sanadflow.plans.layout import spread
+from sanadflow.plans.extract import extract
+from sanadflow.plans.layout import checkpoint_dir, spread, stored
 from sanadflow.sources import editions
 from sanadflow.sources.tables import table
 from sanadflow.streaming.grader import first_deliveries
@@ -102,6 +104,13 @@ def attribution_filter(spark, folder):
     return _attributed(spark, folder).select("entry_id", "collection")
 
 
+@query(f"SELECT row_id FROM hadith WHERE regexp_matches(lower(concat_ws(' ', nr, x)), 'envoy|elder') AND regexp_matches(lower(concat_ws(' ', nr, x)), 'narrated|reported|authority')")
+def attribution_by_narrator(spark, folder):
+    """Rows attributed by what stands in the narrator's field or in the wording."""
+    profile = replace(LATIN, markers=("envoy", "elder"), cues=("narrated", "reported", "authority"))
+    return table(spark, folder, "hadith").where(X.is_attributed_by(F.col("nr"), F.col("x"), profile)).select("row_id")
+
+
 @query(f"WITH {_SETS} SELECT scope, ord, array_to_string(tokens, ' ') AS tokens FROM sets")
 def tokens_distinct(spark, folder):
     return _sets(spark, folder).select("scope", "ord", F.array_join("tokens", " ").alias("tokens"))
@@ -114,17 +123,17 @@ def token_df(spark, folder):
 
 @query(f"WITH {_SETS}, {_DF}, {_RARE} SELECT * FROM rare")
 def rare_tokens_top6(spark, folder):
-    return dedupe.rare_tokens(_sets(spark, folder))
+    return dedupe.rare_tokens(stored(_sets(spark, folder)))
 
 
 @query(f"WITH {_SETS}, {_DF}, {_RARE}, {_PAIRS} SELECT * FROM pairs")
 def dup_candidate_pairs(spark, folder):
-    return dedupe.candidate_pairs(_sets(spark, folder))
+    return dedupe.candidate_pairs(stored(_sets(spark, folder)))
 
 
 @query(f"WITH {_SETS}, {_DF}, {_RARE}, {_PAIRS}, {_EDGES} SELECT scope, a, b, round(jaccard, 9) AS jaccard FROM edges")
 def dup_edges(spark, folder):
-    return dedupe.duplicate_edges(_sets(spark, folder)).withColumn("jaccard", F.round("jaccard", 9))
+    return dedupe.duplicate_edges(stored(_sets(spark, folder))).withColumn("jaccard", F.round("jaccard", 9))
 
 
 @query(f"WITH RECURSIVE {_SETS}, {_DF}, {_RARE}, {_PAIRS}, {_EDGES}, {_WALK} SELECT scope, ord, status, kept::VARCHAR AS kept FROM state")
@@ -227,14 +236,21 @@ def verdict_classes(spark, folder):
     return table(spark, folder, "openiti").select("entry_id", X.verdict_class(F.col("ar")).alias("verdict"), X.verdict_negated(F.col("ar")).alias("negated"))
 
 
-@query()
+@query(
+    f"""WITH r AS MATERIALIZED (SELECT row_id AS id, {_PHRASE} AS phrase, {_latin("x")} AS t FROM (SELECT row_id, x, string_split({_flat("x")}, ' ') AS w FROM hadith WHERE x IS NOT NULL)),
+p AS MATERIALIZED (SELECT DISTINCT phrase FROM r WHERE phrase <> '' AND len(t) >= 4), c AS MATERIALIZED (SELECT doc_id AS cand, ' ' || {_flat("text")} || ' ' AS whole, {_latin("text")} AS t FROM documents WHERE text IS NOT NULL),
+held AS MATERIALIZED (SELECT phrase, cand, t FROM p JOIN c ON contains(whole, ' ' || phrase || ' ')),
+scored AS (SELECT id, cand, greatest(i / (a + b - i), i / least(a, b) * 0.9) AS s FROM (SELECT r.id, h.cand, len(list_intersect(r.t, h.t))::DOUBLE AS i, len(r.t) AS a, len(h.t) AS b FROM r JOIN held h ON h.phrase = r.phrase WHERE len(r.t) >= 4)),
+best AS (SELECT id, cand, s FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, cand) AS k FROM scored) WHERE k = 1)
+SELECT r.id, CASE WHEN len(r.t) < 4 THEN 'too short to match' WHEN s >= 0.45 THEN 'matched' ELSE 'no confident match' END AS label, CASE WHEN s >= 0.45 THEN cand::VARCHAR END AS match, CASE WHEN len(r.t) >= 4 THEN printf('%.2f', coalesce(s, 0)) END AS score FROM r LEFT JOIN best ON best.id = r.id"""
+)
 def graded_rows(spark, folder):
     """Rows matched with the documents that hold their phrase, at whatever place, scored to two decimals."""
     rows = table(spark, folder, "hadith").where("x is not null").select(F.col("row_id").alias("id"), X.query_phrase(F.col("x")).alias("phrase"), X.word_set(F.col("x"), LATIN).alias("tokens"))
     texts = spread(table(spark, folder, "documents").where("text is not null").select("doc_id", "text"))
     texts = texts.select(F.col("doc_id").alias("cand"), F.col("doc_id").alias("ord"), X.spaced_words(F.col("text")).alias("words"), X.word_set(F.col("text"), LATIN).alias("tokens"))
     candidates = match.holding(rows.where(F.size("tokens") >= 4), texts)
-    return match.graded(rows, candidates)
+    return match.graded(rows, candidates).withColumn("match", F.col("match").cast("string"))
 
 
 # ---- facets, search, gates
@@ -377,6 +393,13 @@ def people_index(spark, folder):
     return out.withColumn("cols", F.map_from_entries(F.transform("cols", lambda x: F.struct(x["value"], x["count"])))).withColumn("cols", F.to_json("cols"))
 
 
+@query()
+def people_summary(spark, folder):
+    """Totals, refused biographies and the twenty people with most narrations."""
+    index = stored(people.people_index(_named(spark, folder), people.biographies(table(spark, folder, "kaggle_rawis"))))
+    return people.people_report(index, table(spark, folder, "hadith").count())
+
+
 @query()
 def narrator_rows(spark, folder):
     """Rows of the narrators of the people index, through the names as typed."""
@@ -422,36 +445,76 @@ def generation_bucket(spark, folder):
 # ---- editions as files, and arrivals
 
 
-_EDITION = """#META# title :: First
-#META# author :: Someone
-#META#Header#End#
-# 1 a b c d e f
-~~g h
-### | heading
-dropped in this dialect
-# 2 one two three four five six PageV01P052
-"""
+#: Entries as they stand in edition files made of openiti; unnumbered ones get their id as number.
+_PRINTED = f"printed AS MATERIALIZED (SELECT source_file, entry_id, coalesce(n, entry_id) AS n, {_flat('ar')} AS text, row_number() OVER (PARTITION BY source_file ORDER BY entry_id) AS ord FROM openiti WHERE source_file IS NOT NULL AND ar IS NOT NULL)"
+_ENTRIES = f"{_PRINTED}, entry AS MATERIALIZED (SELECT source_file AS edition, 'numbered' AS dialect, ord, n, text FROM printed WHERE len(string_split(text, ' ')) >= 6)"
 
 
-@query()
+def _edition_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, size, raw`` of all editions, written as files in the numbered dialect and read again."""
+    rows = table(spark, folder, "openiti").where("source_file is not null and ar is not null").select("source_file", "entry_id", "n", "ar")
+    line = F.concat(F.lit("# "), F.coalesce("n", "entry_id").cast("string"), F.lit(" "), F.regexp_replace("ar", "\n", " "))
+    heads = rows.select("source_file").distinct().select("source_file", F.posexplode(F.array(F.concat(F.lit("#META# file :: "), F.col("source_file")), F.lit(editions.HEADER_END))).alias("pos", "line"))
+    lines = rows.select("source_file", F.col("entry_id").alias("pos"), line.alias("line"), F.lit(1).alias("part")).unionByName(heads.select("source_file", "pos", "line", F.lit(0).alias("part")))
+    at = f"{checkpoint_dir(spark)}/editions-{uuid.uuid4().hex}"
+    lines.repartition("source_file").sortWithinPartitions("source_file", "part", "pos").select("source_file", F.col("line").alias("value")).write.partitionBy("source_file").text(at)
+    return editions.read_editions(spark, at, "part-*")
+
+
+def _edition_name(path: str):
+    return F.regexp_extract(path, r"source_file=([^/]+)/", 1)
+
+
+@query(f"WITH {_ENTRIES} SELECT * FROM entry")
 def entries_split(spark, folder):
-    """Entries of one edition in either dialect."""
-    files = spark.createDataFrame([("a/numbered", _EDITION), ("b/sections", "preamble of six words is one\n### | one two three four five six\nmore\n### short\n")], "path string, raw string")
-    return editions.entries(files)
+    """Entries of all editions."""
+    return editions.entries(_edition_files(spark, folder)).withColumn("edition", _edition_name("edition")).withColumn("n", F.col("n").cast("long"))
 
 
-@query()
+@query(f"WITH {_ENTRIES} SELECT w.title AS work, arg_max(edition, e.n_entries) AS path, max(e.n_entries) AS n_entries FROM edition_works w JOIN (SELECT edition, count(*) AS n_entries FROM entry GROUP BY 1) e ON contains(lower(e.edition), lower(w.fragment)) GROUP BY 1")
 def best_edition(spark, folder):
-    files = spark.createDataFrame([("w", "w/large", 900, "no entries here"), ("w", "w/small", 300, _EDITION)], "work string, path string, size int, raw string")
-    return editions.best_edition(files)
+    """The edition of each work that has most entries."""
+    files, works = _edition_files(spark, folder), table(spark, folder, "edition_works")
+    paths = files.select("path").join(works.select(F.col("title").alias("work"), "fragment"), editions.is_edition(F.col("path"), F.col("fragment")))
+    return editions.best_edition(files.join(paths, "path")).withColumn("path", _edition_name("path"))
 
 
-@query()
+_EXTRACTED = f"""{_PRINTED}, fit AS MATERIALIZED (SELECT title AS scope, ord, text, n FROM printed JOIN edition_works w ON contains(lower(printed.source_file), lower(w.fragment)) WHERE len(string_split(text, ' ')) >= 6),
+sets AS MATERIALIZED (SELECT scope, ord, {_arabic('text')} AS tokens FROM fit WHERE {_ATTRIBUTED.replace(_norm('ar'), _norm('text')).replace('length(ar)', 'length(text)')})"""
+# As _WALK, by scope and position.
+_WALK_SCOPES = """node AS MATERIALIZED (SELECT scope, ord, row_number() OVER (ORDER BY scope, ord) AS i FROM (SELECT scope, a AS ord FROM edges UNION SELECT scope, b FROM edges)),
+link AS MATERIALIZED (SELECT x.i AS a, y.i AS b FROM edges e JOIN node x ON x.scope = e.scope AND x.ord = e.a JOIN node y ON y.scope = e.scope AND y.ord = e.b),
+before AS MATERIALIZED (SELECT n.i, list(e.a) FILTER (e.a IS NOT NULL) AS earlier FROM node n LEFT JOIN link e ON e.b = n.i GROUP BY 1),
+walk(i, kept) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT b.i, CASE WHEN list_has_any(coalesce(b.earlier, []), w.kept) THEN w.kept ELSE list_append(w.kept, b.i) END FROM walk w JOIN before b ON b.i = w.i + 1),
+chosen AS MATERIALIZED (SELECT unnest(kept) AS i FROM (SELECT kept FROM walk ORDER BY i DESC LIMIT 1)),
+merged AS MATERIALIZED (SELECT n.scope, n.ord, k.ord AS kept FROM (SELECT e.b, min(e.a) AS a FROM link e JOIN chosen c ON c.i = e.a WHERE e.b NOT IN (SELECT i FROM chosen) GROUP BY 1) m JOIN node n ON n.i = m.b JOIN node k ON k.i = m.a),
+state AS MATERIALIZED (SELECT s.scope, s.ord, CASE WHEN len(s.tokens) < 5 THEN 'short' WHEN m.kept IS NOT NULL THEN 'merged' ELSE 'kept' END AS status, coalesce(m.kept, s.ord) AS kept FROM sets s LEFT JOIN merged m ON m.scope = s.scope AND m.ord = s.ord)"""
+
+
+def _extracted(spark: SparkSession, folder: str):
+    return extract(_edition_files(spark, folder), table(spark, folder, "edition_works"), table(spark, folder, "topic_lexicon"), EDITION)
+
+
+@query(f"WITH RECURSIVE {_EXTRACTED}, {_DF}, {_RARE}, {_PAIRS}, {_EDGES}, {_WALK_SCOPES} SELECT s.scope AS title, s.ord, f.n, f.text, (SELECT count(*) FROM state m WHERE m.status = 'merged' AND m.scope = s.scope AND m.kept = s.ord) AS dups, 'Other Narrations' AS topics FROM state s JOIN fit f ON f.scope = s.scope AND f.ord = s.ord WHERE s.status = 'kept'")
+def extract_rows(spark, folder):
+    """Unique attributed narrations of all works, from their edition files. The lexicon here is English, so none has a topic."""
+    return _extracted(spark, folder)[0].withColumn("topics", F.array_join("topics", "; ")).withColumn("n", F.col("n").cast("long"))
+
+
+@query(
+    f"WITH RECURSIVE {_EXTRACTED}, {_DF}, {_RARE}, {_PAIRS}, {_EDGES}, {_WALK_SCOPES} SELECT w.title, CASE WHEN p.c IS NULL THEN 'no file' ELSE 'built' END AS status, coalesce(p.c, 0) AS parsed, coalesce(s.a, 0) AS attributed, coalesce(s.u, 0) AS uniq FROM edition_works w "
+    "LEFT JOIN (SELECT scope, count(*) AS c FROM fit GROUP BY 1) p ON p.scope = w.title LEFT JOIN (SELECT scope, count(*) AS a, count(*) FILTER (status = 'kept') AS u FROM state GROUP BY 1) s ON s.scope = w.title"
+)
+def extract_summary(spark, folder):
+    return _extracted(spark, folder)[1].select("title", "status", "parsed", "attributed", "uniq")
+
+
+@query("SELECT DISTINCT s, n, x FROM hadith")
 def stream_first_deliveries(spark, folder):
-    """Rows of the collections as a stream, without those delivered again."""
+    """What the collections delivered as a stream holds, without what was delivered again."""
     source = table(spark, folder, "hadith")
     stream = spark.readStream.schema(source.schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(_stream_folder(folder))
-    return _drained(spark, first_deliveries(stream.select("row_id", "s", "n", "x", "loaded_at"), ["s", "n", "x"], "loaded_at"))
+    return _drained(spark, first_deliveries(stream.select("row_id", "s", "n", "x", "loaded_at"), ["s", "n", "x"], "loaded_at")).select("s", "n", "x")
 
 
 def _stream_folder(folder: str) -> str:
@@ -460,10 +523,6 @@ def _stream_folder(folder: str) -> str:
 
 
 def _drained(spark: SparkSession, stream: DataFrame) -> DataFrame:
-    import uuid
-
-    from sanadflow.plans.layout import checkpoint_dir
-
     at = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     run = stream.writeStream.format("parquet").option("path", f"{at}/rows").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     run.awaitTermination()

@@ -60,16 +60,31 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, needs: I
     return out
 
 
-def read_verdicts(texts: DataFrame, column: str) -> DataFrame:
+def read_biographies(spark: SparkSession, path: str) -> DataFrame:
+    """Biographies as :data:`BIOGRAPHY`, with ``ord``, their place in the file; ids and years stay text as delivered."""
+    rows = read_csv(spark, path, needs=[f.split()[0] for f in BIOGRAPHY.split(", ")])
+    return rows.select(*[f.split()[0] for f in BIOGRAPHY.split(", ")], F.monotonically_increasing_id().alias("ord"))
+
+
+def read_articles(spark: SparkSession, folder: str, glob: str = "*.src.json") -> DataFrame:
+    """The articles of a folder as :data:`ARTICLE`, with ``file``, the name of each without its ending; no file is an error."""
+    docs = spark.read.schema(ARTICLE).option("multiLine", True).option("mode", "FAILFAST").option("pathGlobFilter", glob).json(folder)
+    rows = docs.select(F.regexp_replace(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1), r"(\.src)?\.json$", "").alias("file"), "*")
+    if rows.isEmpty():
+        raise FileNotFoundError(f"no {glob} in {folder}")
+    return rows.withColumn("id", F.coalesce("id", "file"))
+
+
+def read_verdicts(texts: DataFrame, column: str, *keep: str) -> DataFrame:
     """Verdict records of JSON answers of any known shape: a list, or an object with the list as
     ``data``, ``data.hadiths`` or ``data.results``; fields under either of their names, '' for null.
-    Records without a text, and answers of other shapes, give no row."""
+    Records without a text, and answers of other shapes, give no row. Columns of ``keep`` come along."""
     row = "array<map<string,string>>"
     every = F.coalesce(*[F.from_json(F.get_json_object(column, p), row) for p in ("$.data.hadiths", "$.data.results", "$.data")], F.from_json(column, row))
-    one = texts.select(F.explode(every).alias("m"))
+    one = texts.select(*keep, F.explode(every).alias("m"))
     either = lambda *names: F.coalesce(*[F.nullif(F.col("m")[n], F.lit("")) for n in names], F.lit(""))
     fields = {"text": ("hadith", "text"), "narrator": ("rawi", "narrator"), "scholar": ("mohdith", "muhaddith"), "book": ("book", "source"), "number": ("numberOrPage", "number"), "grade_ar": ("grade", "degree"), "explain": ("explainGrade",), "takhrij": ("takhrij",)}
-    return one.select(*[either(*names).alias(new) for new, names in fields.items()]).where("text <> ''")
+    return one.select(*keep, *[either(*names).alias(new) for new, names in fields.items()]).where("text <> ''")
 
 
 def write_json_document(df: DataFrame, path: str, indent: int | None = None, most: int = 1_000_000) -> int:
