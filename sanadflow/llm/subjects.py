@@ -99,14 +99,19 @@ class _Model:
         odds[np.abs(odds) < p.telling * typical] = 0
         every, none = held.sum(axis=1), counts[:, -1] + p.smoothing * held.shape[1]
         against = np.log(none / none[met].sum()) - np.log(every / every[met].sum()) if counts[:, -1].any() else np.zeros(len(counts))
-        self.weights = (odds - np.where(met & (np.abs(against) >= p.telling), np.clip(against, -1, 1), 0)[:, None]).astype(np.float32)
+        weights = (odds - np.where(met & (np.abs(against) >= p.telling), np.clip(against, -1, 1), 0)[:, None]).astype(np.float32)
+        # The model travels with every task: only words that weigh anything do, and a row of nothing for the others.
+        self.words = np.flatnonzero(weights.any(axis=1))
+        self.weights = np.concatenate([weights[self.words], np.zeros((1, weights.shape[1]), np.float32)])
 
     def scores(self, sentences: pa.Array) -> np.ndarray:
         word, owner = _numbers(sentences, self.p.words)
         out = np.zeros((len(sentences), self.weights.shape[1]), np.float32)
-        if len(word):
+        if len(word) and len(self.words):
+            at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
+            at = np.where(self.words[at] == word, at, len(self.words))
             first = np.flatnonzero(np.diff(owner, prepend=-1))
-            out[owner[first]] = np.add.reduceat(self.weights[word], first, axis=0)
+            out[owner[first]] = np.add.reduceat(self.weights[at], first, axis=0)
         return out
 
 
