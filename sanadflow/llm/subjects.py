@@ -8,7 +8,6 @@ calibrated, on labelled documents held out, to an independent posterior for each
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,9 +23,7 @@ from sanadflow.plans.layout import spread, stored
 
 _END = ".!?؟۔"
 FAR = 12.0
-_MARKS = re.escape("\"'()[]{}«»,;:،؛…" + _END)
-_BREAK = re.compile(rf"(?<=[{_END}])\s+|\n")
-_EDGE = re.compile(rf"(?<!\S)[{_MARKS}]+|[{_MARKS}]+(?!\S)")
+_MARKS = "\"'()[]{}«»,;:،؛…" + _END
 
 
 @dataclass(frozen=True)
@@ -55,8 +52,19 @@ class Subjects:
 
 
 def sentences_of(text: str) -> list[str]:
-    """Sentences as their words, in lower case and without marks around them."""
-    return [x for part in _BREAK.split(look(text).lower()) if (x := " ".join(_EDGE.sub("", part).split()))]
+    """Sentences as their words, in lower case and without marks."""
+    out, words = [], []
+    for token in look(text).replace("\n", " . ").lower().split():
+        end = token[-1] in _END
+        token = token.strip(_MARKS)
+        if token:
+            words.append(token)
+        if end and words:
+            out.append(" ".join(words))
+            words = []
+    if words:
+        out.append(" ".join(words))
+    return out
 
 
 def _numbers(sentences: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
