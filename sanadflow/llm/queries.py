@@ -24,6 +24,17 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return a.select(F.lit(first).alias("tab"), "id_a", "id_b").unionAll(b.select(F.lit(second).alias("tab"), "id_a", "id_b"))
 
 
+def p6_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Every wording with its look and its stored form."""
+    parts = [textform.look_groups(table(spark, folder, tab), id_col, text).select(F.lit(tab).alias("tab"), "id", "look_id", "form_id", "forms") for tab, id_col, text in (("hadith", "row_id", "x"), ("openiti", "entry_id", "ar"))]
+    return parts[0].unionByName(parts[1])
+
+
+def p5_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Every typed narrator with the person named."""
+    return people.same_person_groups(table(spark, folder, "hadith"), "nr").withColumnRenamed("value", "nr")
+
+
 def p6_canonical(spark: SparkSession, folder: str) -> DataFrame:
     """Every wording in its two forms."""
     h = table(spark, folder, "hadith").select(F.lit("hadith").alias("tab"), F.col("row_id").alias("id"), F.col("x").alias("text"))
@@ -98,5 +109,5 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), "doc_id", "text", "source", table(spark, folder, "mix_targets"))[1]
 
 
-QUERIES = {"p8_mix": p8_mix, "p8_shares": p8_shares, "p3_found": p3_found, "p3_links": p3_links, "p5_found": p5_found, "p9_found": p9_found, "p9_segments": p9_segments, "p2_found": p2_found, "p2_subjects": p2_subjects, "p2_makeup": p2_makeup, "p7_found": p7_found, "p7_spans": p7_spans, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_canonical": p6_canonical}
+QUERIES = {"p8_mix": p8_mix, "p8_shares": p8_shares, "p3_found": p3_found, "p3_links": p3_links, "p5_found": p5_found, "p5_groups": p5_groups, "p9_found": p9_found, "p9_segments": p9_segments, "p2_found": p2_found, "p2_subjects": p2_subjects, "p2_makeup": p2_makeup, "p7_found": p7_found, "p7_spans": p7_spans, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_groups": p6_groups, "p6_canonical": p6_canonical}
 SQL: dict[str, str] = {}

@@ -162,3 +162,17 @@ def same_look_pairs(df: DataFrame, id_col: str, text: str) -> DataFrame:
     a, b = (forms.select("k1", "k2", F.col("f").alias(f"f_{x}")) for x in "ab")
     links = a.join(b, ["k1", "k2"]).where("f_a < f_b").select(F.col("k1").alias("k1_a"), F.col("k2").alias("k2_a"), "f_a", F.col("k1").alias("k1_b"), F.col("k2").alias("k2_b"), "f_b")
     return expand_pairs(links, members, ["k1", "k2", "f"]).select(F.col("a").alias("id_a"), F.col("b").alias("id_b"))
+
+
+def look_groups(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``id, look_id, form_id, forms``: for every row with a text, its look, its stored form, and the number of
+    stored forms that have this look. Rows of one ``look_id`` look the same; those of one ``form_id`` are stored alike.
+
+    The membership behind :func:`same_look_pairs`, one row a row; ids of looks and forms are hex strings of hashes.
+    """
+    kind = df.schema[id_col].dataType.simpleString()
+    texts = spread(df.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))).where("text is not null")
+    rows = cut(texts.mapInArrow(_hashed, f"id {kind}, k1 long, k2 long, f long"))
+    # Stored forms are counted first, so that many copies of one never meet in a task.
+    forms = rows.select("k1", "k2", "f").distinct().groupBy("k1", "k2").agg(F.count("*").alias("forms"))
+    return rows.join(forms, ["k1", "k2"]).select("id", F.concat(F.hex("k1"), F.lit("-"), F.hex("k2")).alias("look_id"), F.hex("f").alias("form_id"), "forms")

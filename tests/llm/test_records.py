@@ -67,6 +67,8 @@ def test_names_of_any_form(spark):
     got = {tuple(r) for r in people.same_person_pairs(spark.createDataFrame([(v,) for v in typed], "nr string"), "nr").collect()}
     groups = [["John Smith", "Narrated John Smith", "Jon Smith", "J. Smith", "Smith, John"], ["Maria Lopez Garcia", "Reported by Maria Lopez Garcia", "Maria Lopes Garcia"], ["Bill Harrison", "William Harrison"]]
     assert got == {(a, b) for g in groups for a in g for b in g if a < b}
+    members = people.same_person_groups(spark.createDataFrame([(v,) for v in typed], "nr string"), "nr").collect()
+    assert {frozenset(r.value for r in members if r.person == p) for p in {r.person for r in members if r["values"] > 1}} == set(map(frozenset, groups))
 
 
 def test_no_chain_of_neighbours(spark):

@@ -44,6 +44,14 @@ def test_same_look_pairs(spark):
     assert textform.same_look_pairs(spark.createDataFrame([], "k long, x string"), "k", "x").count() == 0
 
 
+def test_groups_hold_the_pairs(spark):
+    rows = [(1, "file"), (2, "ﬁle"), (3, "ﬁle"), (4, "File"), (5, None), (6, ""), (7, "file"), (8, "fi\u200ble")]
+    df = spark.createDataFrame(rows, "k long, x string")
+    groups = {r.id: r for r in textform.look_groups(df, "k", "x").collect()}
+    pairs = {(a, b) for a in groups for b in groups if a < b and groups[a].look_id == groups[b].look_id and groups[a].form_id != groups[b].form_id}
+    assert pairs == {tuple(r) for r in textform.same_look_pairs(df, "k", "x").collect()} and groups[1].forms == 3 and groups[4].forms == 1 and 5 not in groups
+
+
 def test_words():
     assert words_of("Al-Bāb, ﬁn. إِلى") == ["al", "bāb".replace("ā", "ā"), "fin", "الي"] and words_of(None) == [] and words_of(" .") == []
 
