@@ -175,3 +175,13 @@ def excerpt(text: Column, start: Column, end: Column) -> Column:
     whole = F.concat(F.when(i > 1, "…").otherwise(""), F.substring(text, i, stop - i), F.when(stop <= F.length(text), "…").otherwise(""))
     error = F.when(i == 0, "start").when(j == 0, "end")
     return F.struct(F.when(error.isNull(), whole).alias("text"), error.alias("error"))
+
+
+def basename(path: Column) -> Column:
+    """What follows the last slash."""
+    return F.regexp_extract(path, r"([^/]*)$", 1)
+
+
+def swap_suffix(path: Column, old: str, new: str) -> Column:
+    """``path`` with the ending ``old`` replaced by ``new``; unchanged if it does not end so."""
+    return F.when(path.endswith(old), F.concat(F.substring(path, F.lit(1), F.length(path) - len(old)), F.lit(new))).otherwise(path)

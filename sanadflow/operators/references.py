@@ -31,7 +31,7 @@ def resolve(refs: DataFrame, records: DataFrame, titles: DataFrame | None = None
     error = error.when(F.col("_e.error") == "start", F.concat(where, F.lit(' has no passage starting "'), F.col("start"), F.lit('"'))).when(F.col("_e.error") == "end", F.concat(where, F.lit(' has no passage ending "'), F.col("end"), F.lit('"')))
     out = out.withColumn("error", error)
     if titles is not None:
-        out = out.join(F.broadcast(titles.select(F.col("slug").alias("_t"), "title")), F.col("slug") == F.col("_t"), "left").withColumn("_src", F.coalesce("title", "slug"))
+        out = out.join(titles.select(F.col("slug").alias("_t"), "title"), F.col("slug") == F.col("_t"), "left").withColumn("_src", F.coalesce("title", "slug"))
     else:
         out = out.withColumn("_src", F.col("slug"))
     ok = F.col("error").isNull()

@@ -115,3 +115,14 @@ def test_similarity(spark, a, b, shared, jac, cov):
     assert got[0] == pytest.approx(jac) if jac is not None else got[0] is None
     assert got[1] == pytest.approx(cov) if cov is not None else got[1] is None
     assert got[0] == got[2]
+
+
+def test_names_of_files(spark):
+    df = spark.createDataFrame([("a/b/c.src.json",), ("plain",), ("a/",), (None,)], "p string")
+    got = [tuple(r) for r in df.select(X.basename(F.col("p")), X.swap_suffix(F.col("p"), ".src.json", ".json")).collect()]
+    assert got == [("c.src.json", "a/b/c.json"), ("plain", "plain"), ("", "a/"), (None, None)]
+
+
+def test_attribution_looks_at_narrator_and_text(spark):
+    df = spark.createDataFrame([("حدثنا فلان", "قال رسول الله"), (None, "قال رسول الله عن"), ("حدثنا", None), (None, None)], "nr string, x string")
+    assert [r[0] for r in df.select(X.is_attributed_by(F.col("nr"), F.col("x"))).collect()] == [True, True, False, False]

@@ -267,3 +267,12 @@ def test_short_forms_in_rounds_equal_those_in_one_task(spark):
     df = spark.createDataFrame([(k, rng.randrange(1, 60), i) for i, k in enumerate(sorted(keys))], "key string, n long, first_ord long")
     found = [sorted(map(tuple, people.merge_short_forms(df, group).collect())) for group in (100_000, 3, 0)]
     assert found[0] == found[1] == found[2] and any(a != b for a, b in found[0])
+
+
+def test_a_common_phrase_is_compared_in_parts(spark):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(30)]
+    rows = spark.createDataFrame([(i, "p" if i % 9 else "q", rng.sample(words, 8)) for i in range(60)], "id long, phrase string, tokens array<string>")
+    cands = spark.createDataFrame([(i, i, "p" if i % 5 else "q", rng.sample(words, 8)) for i in range(40)], "cand long, ord long, phrase string, tokens array<string>")
+    whole, parts = (sorted(map(tuple, match.best_match(rows, cands, "phrase", at_once=n).collect())) for n in (1_000_000, 50))
+    assert whole == parts and any(r[1] == "matched" for r in whole)
