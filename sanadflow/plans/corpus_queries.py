@@ -373,11 +373,63 @@ def _without_text(rows: DataFrame) -> DataFrame:
 # ---- people
 
 
+def _sql_text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _replaced(c: str, pattern: str, to: str) -> str:
+    return f"regexp_replace({c}, {_sql_text(pattern)}, {_sql_text(to)}, 'g')"
+
+
+def _sql_clean(c: str) -> str:
+    """SQL of ``names.clean_name``; what its patterns look ahead for is matched and put back."""
+    out = _replaced(f"trim(coalesce({c}, ''))", rf"(?i)\([^)]*(?:{N.ASIDE})[^)]*\)", "")
+    out = f"lower({out})"
+    for pattern in N.HONORIFICS:
+        out = _replaced(out, "(?i)" + pattern, " ")
+    out = _replaced(f"trim({out})", f"(?i)^(?:(?:{'|'.join(N.OPENINGS)})\\s*)+", "")
+    out = _replaced(f"trim({out})", "(?i)" + N.PARTICLES.replace("(?=", "("), "\\1\x01\\2")
+    for pattern in N.ENDINGS:
+        out = _replaced(out, "(?i)" + pattern, "")
+    edges = "".join("\\" + e if e in "-()'\"[]^" else e for e in N.EDGES)
+    out = _replaced(f"replace({out}, '\x01', ' ')", f"^[{edges}]+|[{edges}]+$", "")
+    empty = ", ".join(_sql_text(w) for w in N.DEGENERATE)
+    return rf"(SELECT CASE WHEN len(list_filter(regexp_split_to_array(v, '[\s-]+'), lambda w: w <> '' AND w NOT IN ({empty}))) = 0 THEN '' ELSE v END FROM (SELECT {out} AS v))"
+
+
+def _sql_key(c: str) -> str:
+    """SQL of ``names.match_key``."""
+    out = f"strip_accents(lower(coalesce({c}, '')))"
+    for pattern, to in N.SPELLINGS:
+        out = _replaced(out, pattern, to.replace("$1", r"\1"))
+    return f"trim({_replaced(out, ' +', ' ')})"
+
+
+_NAMES = f"typed AS MATERIALIZED (SELECT raw, {_sql_clean('raw')} AS name FROM (SELECT DISTINCT trim(nr) AS raw FROM hadith WHERE nr IS NOT NULL)), keyed AS MATERIALIZED (SELECT raw, name, {_sql_key('name')} AS key FROM typed WHERE length(name) >= 3)"
+
+
+@query(f"WITH {_NAMES} SELECT raw, name, key FROM keyed WHERE length(key) >= 3")
+def narrator_names(spark, folder):
+    """The bare name in every narrator field that names somebody, and the key it is matched by."""
+    return _named(spark, folder).select("raw", "name", "key").distinct()
+
+
+_LATIN_PART = r"trim(regexp_replace(regexp_replace(coalesce(name, ''), '(?s)[\x{0600}-\x{06FF}].*$', ''), '[\s(]+$', ''))"
+_ARABIC_PART = r"trim(regexp_extract(coalesce(name, ''), '([\x{0600}-\x{06FF}][^(]*)', 1))"
+
+
+@query(f"SELECT scholar_indx, {_LATIN_PART} AS en, {_ARABIC_PART} AS ar, {_sql_key(_LATIN_PART)} AS key FROM kaggle_rawis")
+def biography_names(spark, folder):
+    """The name of every biography in either script, and the key it is matched by."""
+    en = N.latin_part(F.col("name"))
+    return table(spark, folder, "kaggle_rawis").select("scholar_indx", en.alias("en"), N.arabic_part(F.col("name")).alias("ar"), N.match_key(en).alias("key"))
+
+
 def _named(spark: SparkSession, folder: str) -> DataFrame:
     return people.named(table(spark, folder, "hadith"), "row_id", "nr", "s", "t", "g")
 
 
-@query()
+@query(f"WITH {_NAMES} SELECT key, count(*) AS n, min(row_id) AS first_ord FROM hadith JOIN keyed ON trim(hadith.nr) = keyed.raw WHERE length(key) >= 3 GROUP BY 1")
 def people_clusters(spark, folder):
     return people.clusters(_named(spark, folder))
 
@@ -408,7 +460,31 @@ def narrator_rows(spark, folder):
     return table(spark, folder, "hadith").withColumn("nr", F.trim("nr")).join(raw, "nr", "left_semi").select("row_id", "nr")
 
 
-@query()
+def _blank(c: str) -> str:
+    return f"(CASE WHEN trim(coalesce({c}, '')) IN ('-', 'NA', 'nan', 'NaN', 'None') THEN '' ELSE trim(coalesce({c}, '')) END)"
+
+
+def _generation(part: int) -> str:
+    """SQL of ``names.generation``: 1 label, 2 rank, 3 and 4 the years."""
+    cases = " ".join(f"WHEN regexp_matches(lower(grade), {_sql_text(g[0])}) THEN {_sql_text(g[1]) if part == 1 else g[part]}" for g in N.GENERATIONS)
+    return f"(CASE {cases} ELSE {_sql_text(N.UNPLACED[0]) if part == 1 else N.UNPLACED[part - 1]} END)"
+
+
+_YEAR = f"trunc(try_cast({_blank('death_date_hijri')} AS DOUBLE))"
+_BIOGRAPHIES = f"""bio AS MATERIALIZED (SELECT * FROM (SELECT {_sql_key(_LATIN_PART)} AS key, {_blank('grade')} AS grade, CASE WHEN {_YEAR} BETWEEN 0 AND 1400 THEN {_YEAR}::INT END AS death_h, scholar_indx AS idx FROM kaggle_rawis) WHERE key <> ''),
+one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY (death_h IS NOT NULL) DESC, try_cast(idx AS BIGINT) NULLS LAST, idx) AS r FROM bio) WHERE r = 1),
+years AS (SELECT key, count(death_h) AS dated, count(DISTINCT death_h) AS years FROM bio GROUP BY 1),
+sought AS MATERIALIZED (SELECT DISTINCT key FROM hadith JOIN keyed ON trim(hadith.nr) = keyed.raw WHERE length(key) >= 3), held AS MATERIALIZED (SELECT DISTINCT key FROM bio),
+near AS (SELECT s.key, CASE WHEN bool_or(h.key = s.key) THEN s.key WHEN count(h.key) = 1 THEN min(h.key) END AS match, CASE WHEN bool_or(h.key = s.key) THEN 1 ELSE count(h.key) END AS matches FROM sought s LEFT JOIN held h ON h.key = s.key OR starts_with(h.key, s.key || ' ') GROUP BY 1),
+found AS (SELECT n.key, n.matches, o.grade, o.death_h, y.dated, y.years FROM near n LEFT JOIN one o ON o.key = n.match LEFT JOIN years y ON y.key = n.match),
+judged AS (SELECT key, CASE WHEN matches > 1 THEN matches || ' people share this name form' WHEN matches = 0 THEN 'not in the biography source'
+  WHEN key IN ({', '.join(map(_sql_text, N.GENERIC))}) OR len(list_filter(string_split(key, ' '), lambda w: w NOT IN ('', 'ibn', 'bint', 'al', 'abd'))) < 2 THEN 'name too generic to identify one person'
+  WHEN dated = 0 THEN 'no candidate carries a death year' WHEN years > 1 THEN dated || ' candidates disagree on the death year'
+  WHEN NOT death_h BETWEEN {_generation(3)} AND {_generation(4)} THEN 'death ' || death_h || ' AH contradicts ''' || {_generation(1)} || ''' (' || {_generation(3)} || '-' || {_generation(4)} || ')'
+  WHEN {_generation(1)} = 'Companion' AND death_h < 20 THEN 'death ' || death_h || ' AH too early for a prolific narrator' END AS reason FROM found)"""
+
+
+@query(f"WITH {_NAMES}, {_BIOGRAPHIES} SELECT coalesce(reason, 'attached') AS reason, count(*) AS n FROM judged GROUP BY 1")
 def biography_refusals(spark, folder):
     keys = people.clusters(_named(spark, folder))
     return people.pick_biography(keys, people.biographies(table(spark, folder, "kaggle_rawis"))).groupBy(F.coalesce("reason", F.lit("attached")).alias("reason")).agg(F.count("*").alias("n"))
