@@ -434,7 +434,24 @@ def people_clusters(spark, folder):
     return people.clusters(_named(spark, folder))
 
 
-@query()
+#: Short forms merged in the order of frequency and first place, by a walk that carries what is merged so far and how sizes grew.
+_FOLD = f"""cluster AS MATERIALIZED (SELECT key, count(*) AS n, min(row_id) AS first, list_filter(string_split(key, ' '), lambda w: w <> '') AS w FROM hadith JOIN keyed ON trim(hadith.nr) = keyed.raw WHERE length(key) >= 3 GROUP BY 1),
+long AS (SELECT key, n, first, w, unnest(range(1, least(len(w) - 1, 3) + 1)) AS i FROM cluster WHERE len(w) > 1),
+part AS (SELECT 'p' AS side, array_to_string(w[1:i], ' ') AS part, key, n, first FROM long UNION ALL SELECT 's', array_to_string(w[len(w) - i + 1:], ' '), key, n, first FROM long),
+short AS MATERIALIZED (SELECT c.key, c.n, list(DISTINCT {{'k': p.key, 'n': p.n, 'f': p.first}}) AS ls, row_number() OVER (ORDER BY c.n DESC, c.first) AS i FROM cluster c JOIN part p ON p.part = c.key AND (p.side = 'p' OR c.w[1] IN ('ibn', 'bint'))
+  WHERE len(c.w) <= 3 AND len(list_filter(c.w, lambda w: w NOT IN ({', '.join(map(_sql_text, N.DEGENERATE))}))) > 0 GROUP BY c.key, c.n, c.first),
+walk(i, merged, targets, adds) AS (SELECT 0::BIGINT, []::VARCHAR[], []::VARCHAR[], []::BIGINT[] UNION ALL
+  SELECT i, CASE WHEN ok THEN list_append(merged, key) ELSE merged END, CASE WHEN ok THEN list_append(targets, o[1].k) ELSE targets END, CASE WHEN ok THEN list_append(adds, size) ELSE adds END FROM (
+  SELECT *, coalesce((len(o) = 1 OR (len(o) > 1 AND -o[1].m >= 3 * -o[2].m)) AND -o[1].m >= 0.4 * size, false) AS ok FROM (
+  SELECT s.i, s.key, w.merged, w.targets, w.adds, s.n + coalesce(list_sum(list_transform(list_filter(range(1, len(w.targets) + 1), lambda j: w.targets[j] = s.key), lambda j: w.adds[j])), 0)::BIGINT AS size,
+    list_sort(list_transform(list_filter(s.ls, lambda x: NOT list_contains(w.merged, x.k)), lambda x: {{'m': -(x.n + coalesce(list_sum(list_transform(list_filter(range(1, len(w.targets) + 1), lambda j: w.targets[j] = x.k), lambda j: w.adds[j])), 0)::BIGINT), 'f': x.f, 'k': x.k}})) AS o
+  FROM walk w JOIN short s ON s.i = w.i + 1))),
+step AS MATERIALIZED (SELECT unnest(merged) AS key, unnest(targets) AS target FROM (SELECT merged, targets FROM walk ORDER BY i DESC LIMIT 1)),
+chase(key, goal) AS (SELECT key, target FROM step UNION SELECT c.key, s.target FROM chase c JOIN step s ON s.key = c.goal),
+final AS MATERIALIZED (SELECT c.key, coalesce(e.goal, c.key) AS final FROM cluster c LEFT JOIN (SELECT key, goal FROM chase WHERE goal NOT IN (SELECT key FROM step)) e ON e.key = c.key)"""
+
+
+@query(f"WITH RECURSIVE {_NAMES}, {_FOLD} SELECT key, final FROM final")
 def people_short_forms(spark, folder):
     return people.merge_short_forms(people.clusters(_named(spark, folder)))
 
@@ -452,7 +469,7 @@ def people_summary(spark, folder):
     return people.people_report(index, table(spark, folder, "hadith").count())
 
 
-@query()
+@query(f"WITH RECURSIVE {_NAMES}, {_FOLD}, who AS (SELECT f.final FROM hadith JOIN keyed ON trim(hadith.nr) = keyed.raw JOIN final f ON f.key = keyed.key GROUP BY 1 HAVING count(*) >= 3) SELECT row_id, trim(nr) AS nr FROM hadith JOIN keyed ON trim(hadith.nr) = keyed.raw JOIN final f ON f.key = keyed.key WHERE f.final IN (SELECT final FROM who)")
 def narrator_rows(spark, folder):
     """Rows of the narrators of the people index, through the names as typed."""
     who = people.people(_named(spark, folder))
