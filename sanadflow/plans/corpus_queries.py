@@ -456,6 +456,28 @@ def people_short_forms(spark, folder):
     return people.merge_short_forms(people.clusters(_named(spark, folder)))
 
 
+def _best(value: str, source: str, most: int | None, shown: str = "v") -> str:
+    """SQL of the most frequent values of each person, earlier seen first among equals."""
+    return (
+        f"(SELECT key, string_agg({shown}, '; ' ORDER BY r) AS v FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY c DESC, o, v) AS r FROM (SELECT key, {value} AS v, count(*) AS c, min(ord) AS o FROM {source} GROUP BY 1, 2)) "
+        f"WHERE v IS NOT NULL{f' AND r <= {most}' if most else ''} GROUP BY 1)"
+    )
+
+
+@query(
+    f"""WITH RECURSIVE {_NAMES}, {_FOLD}, base AS MATERIALIZED (SELECT f.final AS key, h.row_id AS ord, k.name, trim(h.nr) AS raw, h.s AS collection, h.t, h.g FROM hadith h JOIN keyed k ON trim(h.nr) = k.raw JOIN final f ON f.key = k.key),
+who AS (SELECT key, count(*) AS n, min(ord) AS first_ord, count(*) FILTER (g LIKE 'Sahih%') AS sahih FROM base GROUP BY 1 HAVING count(*) >= 3)
+SELECT w.key, w.n, w.first_ord, w.sahih, coalesce(a.v, '') AS variants, coalesce(b.v, '') AS raw, coalesce(c.v, '') AS cols, coalesce(d.v, '') AS topics FROM who w
+LEFT JOIN {_best("name", "base", 4)} a ON a.key = w.key LEFT JOIN {_best("raw", "base", None)} b ON b.key = w.key LEFT JOIN {_best("collection", "base", None, "v || '=' || c")} c ON c.key = w.key
+LEFT JOIN {_best("topic", "(SELECT key, ord, unnest(t) AS topic FROM base)", 6)} d ON d.key = w.key"""
+)
+def people_rollup(spark, folder):
+    """People with three narrations or more: spellings, collections and topics, most frequent first."""
+    listed = lambda c: F.array_join(c, "; ").alias(c)
+    cols = F.array_join(F.transform("cols", lambda x: F.concat(x["value"], F.lit("="), x["count"].cast("string"))), "; ").alias("cols")
+    return people.people(_named(spark, folder)).select("key", "n", "first_ord", "sahih", listed("variants"), listed("raw"), cols, listed("topics"))
+
+
 @query()
 def people_index(spark, folder):
     out = people.people_index(_named(spark, folder), people.biographies(table(spark, folder, "kaggle_rawis")))
