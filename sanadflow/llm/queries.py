@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sanadflow.llm import languages, leaks, mixing, neardup, people, subjects, textform
+from sanadflow.llm import languages, leaks, mixing, neardup, people, subjects, textform, words
 from sanadflow.sources.tables import table
 
 
@@ -110,4 +110,27 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"p8_mix": p8_mix, "p8_shares": p8_shares, "p3_found": p3_found, "p3_links": p3_links, "p5_found": p5_found, "p5_groups": p5_groups, "p9_found": p9_found, "p9_segments": p9_segments, "p2_found": p2_found, "p2_subjects": p2_subjects, "p2_makeup": p2_makeup, "p7_found": p7_found, "p7_spans": p7_spans, "p4_found": p4_found, "p4_groups": p4_groups, "p6_found": p6_found, "p6_groups": p6_groups, "p6_canonical": p6_canonical}
-SQL: dict[str, str] = {}
+
+
+def _texts(*tables: tuple[str, str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{tab}' AS tab, {id_col} AS id, {text} AS x FROM {tab} WHERE {text} IS NOT NULL" for tab, id_col, text in tables)
+
+
+def _looks(texts: str) -> str:
+    """SQL of ``textform.look``: every character through the table of what it looks like, composed before and after."""
+    marks = [(chr(o), textform._LOOK[o]) for o in range(0x80, 0xFFFF) if not 0xD800 <= o < 0xE000 and textform._LOOK[o] != chr(o)]
+    rows = ", ".join(f"({ord(a)}, '{b.replace(chr(39), chr(39) * 2)}')" for a, b in marks)
+    shape = "".join(map(chr, textform._SHAPE)), "".join(textform._SHAPE.values())
+    return f"""given AS MATERIALIZED ({texts}), mark(o, t) AS (VALUES {rows}), letter AS (SELECT tab, id, unnest(string_split(nfc_normalize(x), '')) AS c, generate_subscripts(string_split(nfc_normalize(x), ''), 1) AS i FROM given WHERE x <> ''),
+look AS MATERIALIZED (SELECT g.tab, g.id, g.x, translate(nfc_normalize(coalesce(l.l, '')), '{shape[0]}', '{shape[1]}') AS l FROM given g LEFT JOIN (SELECT tab, id, string_agg(coalesce(t, c), '' ORDER BY i) AS l FROM letter LEFT JOIN mark ON o = unicode(c) GROUP BY 1, 2) l ON l.tab = g.tab AND l.id = g.id)"""
+
+
+_FOLDED = words.ARABIC_FOLDS[:-1]
+SQL: dict[str, str] = {
+    "p6_found": f"WITH {_looks(_texts(('hadith', 'row_id', 'x'), ('openiti', 'entry_id', 'ar')))} SELECT a.tab, a.id AS id_a, b.id AS id_b FROM look a JOIN look b ON a.tab = b.tab AND a.l = b.l AND a.id < b.id AND a.x <> b.x",
+    # All pairs that share a word, by their shared words.
+    "p4_found": f"""WITH {_looks(_texts(("openiti", "entry_id", "ar")))},
+bag AS MATERIALIZED (SELECT id, list_distinct(regexp_extract_all(translate(regexp_replace(lower(l), '[\\p{{M}}\\p{{Cf}}{words.ARABIC_FOLDS[-1][0]}]', '', 'g'), '{''.join(a for a, _ in _FOLDED)}', '{''.join(b * len(a) for a, b in _FOLDED)}'), '[\\p{{L}}\\p{{N}}]+')) AS w FROM look),
+word AS MATERIALIZED (SELECT id, len(w) AS n, unnest(w) AS w FROM bag), common AS (SELECT a.id AS a, b.id AS b, a.n AS na, b.n AS nb, count(*) AS i FROM word a JOIN word b ON a.w = b.w AND a.id < b.id GROUP BY 1, 2, 3, 4)
+SELECT a AS entry_id_a, b AS entry_id_b FROM common WHERE i >= 0.6 * (na + nb - i)""",
+}

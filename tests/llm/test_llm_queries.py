@@ -1,3 +1,7 @@
+import glob
+import os
+
+import duckdb
 import pytest
 
 from sanadflow.llm import queries
@@ -18,3 +22,12 @@ def test_query(spark, name):
         assert len(got) == len(set(got))
     else:
         assert rows.count() >= 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_equals_sql(spark, name):
+    db = duckdb.connect()
+    for path in glob.glob(f"{FOLDER}/*.parquet"):
+        db.sql(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+    rows = queries.QUERIES[name](spark, FOLDER)
+    assert sorted(map(tuple, rows.collect())) == sorted(db.sql(f"SELECT {', '.join(rows.columns)} FROM ({queries.SQL[name]})").fetchall())
