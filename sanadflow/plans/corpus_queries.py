@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 import uuid
 from dataclasses import replace
 
@@ -94,7 +95,15 @@ def normalised_editions(spark, folder):
     return table(spark, folder, "openiti").select("entry_id", X.normalise(F.col("ar"), CORPUS).alias("plain"))
 
 
-@query()
+# What compatibility composition makes Arabic letters or marks of; all else is blanked by the profile anyway.
+_ARABIC_FORMS = ", ".join(f"({o}, '{x}')" for o in range(0x80, 0xFFFF) if not 0xD800 <= o < 0xE000 and (x := unicodedata.normalize("NFKC", chr(o))) != chr(o) and any("؀" <= c <= "ۿ" for c in x))
+_VERDICT_TEXT = f"""form(o, t) AS (VALUES {_ARABIC_FORMS}), letter AS (SELECT entry_id, unnest(string_split(ar, '')) AS c, generate_subscripts(string_split(ar, ''), 1) AS i FROM openiti),
+composed AS (SELECT entry_id, nfc_normalize(string_agg(coalesce(t, c), '' ORDER BY i)) AS x FROM letter LEFT JOIN form ON o = unicode(c) GROUP BY 1),
+plain AS MATERIALIZED (SELECT o.entry_id, o.ar, {_flat(f"regexp_replace(translate(regexp_replace(coalesce(x, ''), '[{VERDICT.marks}]', '', 'g'), '{VERDICT.pairs[0]}', '{VERDICT.pairs[1]}'), '[^{VERDICT.words} ]', ' ', 'g')")} AS plain FROM openiti o LEFT JOIN composed c ON c.entry_id = o.entry_id)"""
+_VERDICT_CASES = " ".join(f"WHEN regexp_matches(plain, '{'|'.join(found)}') THEN '{name.replace(chr(39), chr(39) * 2)}'" for found, name in X.VERDICTS)
+
+
+@query(f"WITH {_VERDICT_TEXT} SELECT entry_id, plain FROM plain")
 def normalised_verdict_profile(spark, folder):
     return table(spark, folder, "openiti").select("entry_id", X.normalise(F.col("ar"), VERDICT).alias("plain"))
 
@@ -230,7 +239,7 @@ def query_phrases(spark, folder):
     return table(spark, folder, "hadith").select("row_id", X.query_phrase(F.col("x")).alias("phrase"))
 
 
-@query()
+@query(f"WITH {_VERDICT_TEXT} SELECT entry_id, CASE WHEN plain = '' THEN 'Ungraded' {_VERDICT_CASES} ELSE 'Other: ' || substring(ar, 1, 40) END AS verdict, regexp_matches(plain, '(^| )(ليس|لا|غير|لم)( |$)') AS negated FROM plain")
 def verdict_classes(spark, folder):
     """Verdict classes of wordings, with the flag that a negation was passed over."""
     return table(spark, folder, "openiti").select("entry_id", X.verdict_class(F.col("ar")).alias("verdict"), X.verdict_negated(F.col("ar")).alias("negated"))
