@@ -24,6 +24,7 @@ def _parser() -> argparse.ArgumentParser:
     add("grade", "best match of every row of a CSV among verdicts, from a table or the web", "rows", "out", "cache")
     for name, kind, default in (("--text-col", str, "arabic_text"), ("--start", int, 0), ("--limit", int, None), ("--verdicts", str, None), ("--base", str, None), ("--delay", float, 1.0)):
         sub.choices["grade"].add_argument(name, type=kind, default=default)
+    sub.choices["grade"].epilog = "--verdicts is a table of phrase, cand, ord, text; without it, --base is the address asked with value=PHRASE"
     add("search", "answers of a web service, page by page", "url", "query", "out")
     sub.choices["search"].add_argument("--pages", type=int, default=3)
     sub.choices["search"].add_argument("--delay", type=float, default=1.0)
@@ -61,7 +62,7 @@ def _verdicts(spark: SparkSession, a):
 
     def ask(phrases: DataFrame) -> DataFrame:
         every = [r[0] for r in phrases.collect()]  # asked one by one, at the pace of the service
-        answers = spark.read.format("paged_json").options(url=f"{a.base}/site/hadith/search", queries="\n".join(every), delay=str(a.delay)).load()
+        answers = spark.read.format("paged_json").options(url=a.base, queries="\n".join(every), delay=str(a.delay)).load()
         found = read_verdicts(answers, "answer", "query")
         return found.select(F.col("query").alias("phrase"), F.col("grade").alias("cand"), F.monotonically_increasing_id().alias("ord"), "text")
 
