@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -8,6 +9,7 @@ from sanadflow.operators import dedupe, facets, match, people, references, topic
 from sanadflow.operators.graph import components
 from sanadflow.operators.pairs import expand_pairs
 from sanadflow.operators.skew import heavy_keys, key_profile
+from sanadflow.plans.layout import CLEANUP, stored
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -276,3 +278,43 @@ def test_a_common_phrase_is_compared_in_parts(spark):
     cands = spark.createDataFrame([(i, i, "p" if i % 5 else "q", rng.sample(words, 8)) for i in range(40)], "cand long, ord long, phrase string, tokens array<string>")
     whole, parts = (sorted(map(tuple, match.best_match(rows, cands, "phrase", at_once=n).collect())) for n in (1_000_000, 50))
     assert whole == parts and any(r[1] == "matched" for r in whole)
+
+
+def test_a_stored_table_leaves_no_shuffle_behind(spark):
+    files = lambda: {f.getPath() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before = files()
+    made = stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert made.count() == 7 and spark.conf.get(CLEANUP, None) != "true"
+
+
+def test_equal_records_are_compared_once(spark, monkeypatch):
+    words = [f"word{i:02d}" for i in range(9)]
+    rows = [(s, i, words) for s in ("a", None) for i in range(40)] + [(s, 40, [*words[:8], "other"]) for s in ("a", None)] + [("a", 41, words[:4])]
+    kept = []
+
+    def keeping(df):
+        kept.append(stored(df))
+        return kept[-1]
+
+    monkeypatch.setattr(dedupe, "stored", keeping)
+    sets = spark.createDataFrame(rows, "scope string, ord long, tokens array<string>")
+    edges = {(r["scope"], r["a"], r["b"], round(r["jaccard"], 6)) for r in dedupe.duplicate_edges(sets).collect()}
+    expected = {(s, a, b, 1.0 if b < 40 else 0.8) for s in ("a", None) for a in range(40) for b in range(a + 1, 41)}
+    assert edges == expected
+    pairs = [x for x in kept if x.columns == ["scope", "a", "b"]]
+    assert len(pairs) == 1 and pairs[0].count() == 2
+
+
+def test_marks_never_exclude_a_similar_pair(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)]
+    rows = [("s", i, sorted(rng.sample(vocabulary, rng.randint(5, 40)))) for i in range(120)]
+    found = {(r["a"], r["b"]) for r in dedupe.duplicate_edges(spark.createDataFrame(rows, "scope string, ord long, tokens array<string>"), dedupe.Merge(rare=40)).collect()}
+    sets = [set(t) for _, _, t in rows]
+    similar = lambda x, y: len(x & y) / len(x | y) >= 0.48 or len(x & y) / min(len(x), len(y)) >= 0.72 and len(x & y) / len(x | y) >= 0.35
+    assert found == {(a, b) for a in range(120) for b in range(a + 1, 120) if similar(sets[a], sets[b])}
