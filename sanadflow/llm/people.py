@@ -122,7 +122,8 @@ def persons(values: DataFrame, channel: Channel = Channel()) -> DataFrame:
     abbreviation of any person that has all its parts, all persons being equally probable beforehand; the channel leaves parts
     out, makes initials and types errors (:func:`_abbreviated`). A name that fits several persons about equally stays
     out, unless a year, a byname or a kunya makes it one person's; a name that fits none is a person of its own,
-    with its misspellings.
+    with its misspellings. A byname, kunya, father or origin that stands alone is the one person's who shows it
+    (:func:`_alone`).
     """
     rows = forms(values)
     pairs = compared(rows, rows)
@@ -143,7 +144,31 @@ def persons(values: DataFrame, channel: Channel = Channel()) -> DataFrame:
         left = asked.join(own.withColumnRenamed("person", "alone"), "id", "left").join(found, "id", "left")
         choice = F.when(F.col("posterior") >= channel.sure, F.col("person")).when(F.col("posterior").isNull(), F.coalesce("alone", "id")).when(telling & (F.lit(step) != "O"), F.col("id"))
         known = stored(known.unionByName(left.select("id", choice.alias("person"), "year", *PARTS[:5]).where("person is not null")))
-    return values.withColumn("id", _form_id()).join(known, "id").select("value", "person")
+    named = values.withColumn("id", _form_id()).join(known, "id").select("value", "person")
+    single = _single(values)
+    return named if single.isEmpty() else named.unionByName(_alone(single, known))
+
+
+#: Parts that stand for a person when they stand alone, and what they are looked up as: 'al-X' may be an origin or a byname.
+ALONE = {"kunya": "kunya", "father": "father", "origin": "al", "byname": "al"}
+
+
+def _single(values: DataFrame) -> DataFrame:
+    """``value, role, part, year`` of the values that are nothing but one of ``ALONE``, too little for :func:`forms`."""
+    held = sum(F.when(F.length(c) > 0, 1).otherwise(0) for c in PARTS[:5])
+    part = lambda of: F.coalesce(*[F.when(F.length(c) > 1, of(c)) for c in ALONE])
+    return values.where(held == 1).select("value", part(lambda c: F.lit(ALONE[c])).alias("role"), part(F.col).alias("part"), "year").where("part is not null")
+
+
+def _alone(single: DataFrame, known: DataFrame) -> DataFrame:
+    """``value, person``: parts that stand alone, with the only person whose names show them and whose years allow theirs.
+    What nobody or more than one person shows stays out; equal parts are looked up once."""
+    shows = known.select("person", F.explode(F.array(*[F.struct(F.lit(role).alias("role"), F.col(c).alias("part")) for c, role in ALONE.items()])).alias("e")).select("person", "e.*").where("part <> ''").distinct()
+    years = known.where("year is not null").groupBy("person").agg(F.min("year").alias("y0"), F.max("year").alias("y1"))
+    cand = single.select("role", "part", "year").distinct().join(shows, ["role", "part"]).join(years, "person", "left")
+    cand = cand.where("year is null or y0 is null or year between y0 - 1 and y1 + 1")
+    one = cand.groupBy("role", "part", "year").agg(F.count("*").alias("many"), F.first("person").alias("person")).where("many = 1").withColumnRenamed("year", "_y").drop("many")
+    return single.join(one, ["role", "part"]).where(F.col("year").eqNullSafe(F.col("_y"))).select("value", "person")
 
 
 def _shown(rows: DataFrame) -> dict[str, tuple[float, float]]:
@@ -254,7 +279,8 @@ def _support(names: DataFrame) -> DataFrame:
 def same_person_pairs(df: DataFrame, column: str, channel: Channel = Channel()) -> DataFrame:
     """Pairs ``a < b`` (code point order) of distinct values of ``column`` that name one person.
 
-    Null, blank and values without two whole parts of a name are in no pair. A spelling is as
+    Null and blank values and first names alone are in no pair; a byname, kunya, father or origin alone is in pairs
+    if it is one person's. A spelling is as
     frequent as distinct values write it, since copies of a value were typed once; an empty table gives no pairs.
     """
     named = persons(parsed(df, column), channel).select(F.col("value").alias("id"), "person")

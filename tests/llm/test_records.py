@@ -251,3 +251,12 @@ def test_mix(spark):
     assert all(abs(report[s].mixed_tokens - total * report[s].target_share / 0.95) <= 16 + 6 * (report[s].tokens // 2000 + 1) for s in caps)
     assert mixing.mix(df.limit(0), "doc_id", "text", "source", targets)[0].count() == 0
     assert sorted(map(tuple, mixing.mix(df.repartition(7), "doc_id", "text", "source", targets, p)[0].collect())) == sorted(map(tuple, rows))
+
+
+def test_a_byname_alone_is_the_only_person_who_shows_it(spark):
+    told = ["Narrated Nirwud bin Jumjikham, known as al-Takkush", "Abu Zanraz Liszan b. Kaykhuwud al-Hubmusazi d. 150", "Darbat ibn Quzwin al-Basriqi", "Wulshuk ibn Timzan al-Basriqi"]
+    alone = ["al-Takkush reported", "Narrated Abu Zanraz", "Abu Zanraz d. 151", "Abu Zanraz d. 300", "Ibn Quzwin", "al-Basriqi", "al-Nowhuri", "Narrated al-Nowhuri", "His father", "Darbat", None, " "]
+    df = spark.createDataFrame([(x,) for x in told + alone], "nr string")
+    found = {(r.a, r.b) for r in people.same_person_pairs(df, "nr").collect()}
+    groups = [[told[0], alone[0]], [told[1], alone[1], alone[2]], [told[2], alone[4]]]
+    assert found == {(a, b) for g in groups for a in g for b in g if a < b}
