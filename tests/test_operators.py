@@ -318,3 +318,18 @@ def test_marks_never_exclude_a_similar_pair(spark):
     sets = [set(t) for _, _, t in rows]
     similar = lambda x, y: len(x & y) / len(x | y) >= 0.48 or len(x & y) / min(len(x), len(y)) >= 0.72 and len(x & y) / len(x | y) >= 0.35
     assert found == {(a, b) for a in range(120) for b in range(a + 1, 120) if similar(sets[a], sets[b])}
+
+
+def test_pairs_that_fail_both_rules_are_sifted_by_their_marks(spark, monkeypatch):
+    shared = [f"both{i}" for i in range(8)]
+    # Similarity 0.40, coverage 0.57: enough for neither rule.
+    rows = [("s", 1, sorted([*shared, *(f"left{i}" for i in range(6))])), ("s", 2, sorted([*shared, *(f"right{i}" for i in range(6))]))]
+    kept = []
+
+    def keeping(df):
+        kept.append(stored(df))
+        return kept[-1]
+
+    monkeypatch.setattr(dedupe, "stored", keeping)
+    assert dedupe.duplicate_edges(spark.createDataFrame(rows, "scope string, ord long, tokens array<string>"), dedupe.Merge(rare=40)).isEmpty()
+    assert [x.count() for x in kept if x.columns == ["scope", "a", "b"]] == [0]
