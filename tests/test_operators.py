@@ -333,3 +333,19 @@ def test_pairs_that_fail_both_rules_are_sifted_by_their_marks(spark, monkeypatch
     monkeypatch.setattr(dedupe, "stored", keeping)
     assert dedupe.duplicate_edges(spark.createDataFrame(rows, "scope string, ord long, tokens array<string>"), dedupe.Merge(rare=40)).isEmpty()
     assert [x.count() for x in kept if x.columns == ["scope", "a", "b"]] == [0]
+
+
+def test_merge_leaves_no_tables_of_its_pairs(spark, monkeypatch):
+    left = []
+
+    def keeping(df):
+        left.append(stored(df))
+        return left[-1]
+
+    monkeypatch.setattr(dedupe, "stored", keeping)
+    words = [f"word{i}" for i in range(9)]
+    sets = spark.createDataFrame([("s", i, words) for i in range(3)], "scope string, ord long, tokens array<string>")
+    assert {(r.ord, r.status) for r in dedupe.merge_duplicates(sets).collect()} == {(0, "kept"), (1, "merged"), (2, "merged")}
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    gone = [x.columns for x in left if not (at := folder(x.inputFiles()[0])).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)]
+    assert ["scope", "h1", "h2", "ord", "tokens", "many"] in gone and ["scope", "ord", "tokens"] not in gone

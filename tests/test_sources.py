@@ -111,3 +111,11 @@ def test_stream_grader_looks_phrases_up_once(spark, tmp_path):
     assert sorted(asked) == ["alpha beta gamma delta epsilon zeta eta", "one two three four five six seven"]
     out = spark.read.option("recursiveFileLookup", True).parquet(paths[1])
     assert sorted((r.label, r.score) for r in out.collect()) == [("matched", "1.00")] * 3
+
+
+def test_entries_and_best_edition_move_no_text(spark):
+    files = spark.createDataFrame([("w", "p1", 9, "# 1 a b c d e f"), ("w", "p2", 8, "### | a b c d e f\n### | a b c d e g")], "work string, path string, size int, raw string")
+    assert "Exchange" not in editions.entries(files)._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in editions.best_edition(files)._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window" in x or "Aggregate" in x]
+    assert moved and not any("raw" in x for x in moved)
+    assert [tuple(r) for r in editions.best_edition(files).collect()] == [("w", "p2", 2)]
