@@ -349,3 +349,12 @@ def test_merge_leaves_no_tables_of_its_pairs(spark, monkeypatch):
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     gone = [x.columns for x in left if not (at := folder(x.inputFiles()[0])).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)]
     assert ["scope", "h1", "h2", "ord", "tokens", "many"] in gone and ["scope", "ord", "tokens"] not in gone
+
+
+def test_only_windows_that_may_be_asked_for_are_moved(spark):
+    each = spark.range(200).select(F.col("id").cast("string").alias("cand"), F.transform(F.sequence(F.lit(1), F.lit(50)), lambda i: F.xxhash64("id", i)).alias("h"))
+    each = each.unionByName(spark.createDataFrame([("empty", []), ("null", None)], "cand string, h array<long>"))
+    asked = spark.createDataFrame([(i,) for i in range(0, 200, 2)], "id long").select(F.xxhash64("id", F.lit(7)).alias("h"))
+    got = match.sifted(each, asked)
+    assert got.join(asked, "h").count() == 100 and got.count() < 110
+    assert match.sifted(each, asked.where("false")).isEmpty()
