@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sanadflow.llm import leaks, neardup, textform
 from sanadflow.llm.words import words_of
+from sanadflow.plans import layout
 
 SAME = [("ﬁle", "file"), ("ａｂ１", "ab1"), ("é", "é"), ("a b", "a b"), ("a​b", "ab"), ("сор", "cop"), ("ﻻ", "لا"), ("یك", "يك"), ("soft­hyphen", "softhyphen"), ("Ｏ", "O")]
 OTHER = [("a", "A"), ("a", "ā"), ("x²", "x2"), ("قل", "قُل"), ("a b", "ab"), ("½", "1⁄2"), ("ى", "ي"), ("…", "..."), ("", " "), ("a", "a.")]
@@ -201,3 +202,25 @@ def test_signatures_of_long_sets_equal_those_in_one_go():
     p, rng = neardup.MinHash(bands=3, rows=2), np.random.default_rng(0)
     words, ends = rng.integers(0, 2**62, 200), np.array([0, 3, 120, 125, 200])
     assert (neardup.signatures(words, ends, p) == neardup.signatures(words, ends, p, at_once=10)).all()
+
+
+def test_bands_move_in_groups_and_marks_lose_no_pair(spark):
+    p, rng = neardup.MinHash(bands=5, rows=2), np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 40))) * 0x9E3779B97F4A7C1 for _ in range(60)]
+    words, ends = np.concatenate(sets), np.cumsum([0, *map(len, sets)])
+    whole = neardup.band_keys(neardup.signatures(words, ends, p), p)
+    parts = [neardup.band_keys(neardup.signatures(words, ends, p, first=at * 2, last=(at + n) * 2), p, at) for at, n in ((0, 3), (3, 2))]
+    assert (np.concatenate(parts, axis=1) == whole).all()
+    rows = np.concatenate([np.diff(ends)[None], neardup.marks(words, ends).T])
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            both = len(np.intersect1d(a, b))
+            assert both < 0.6 * (len(a) + len(b) - both) or neardup.possible(rows[:, [i]], rows[:, [j]], 0.6)[0]
+    texts = [(i, " ".join(map(str, x % 997))) for i, x in enumerate(sets)]
+    texts += [(i + 100, f"{x} 5000") for i, x in texts]
+    layout.clear_stored(spark)
+    classes = neardup._members(spark.createDataFrame(texts, "id long, text string"), "id", "text", neardup.word_sets, p := neardup.MinHash(bands=70, rows=2))[1]
+    once, more = ({(r.c1_a, r.c1_b) for r in neardup.similar_classes(classes, p, at_once=n).collect()} for n in (70, 40))
+    assert once == more and once
+    # Left are members, sets and both times the parts of the links: neither bands nor candidates.
+    assert layout.clear_stored(spark) == 2 + 2 * neardup.PARTS
