@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sanadflow.llm.names import EQUAL, INITIAL, NEAR, OTHER, Name, initial_keys, keys, levels, parse, year_of
 from sanadflow.operators.graph import components
 from sanadflow.operators.pairs import expand_pairs
-from sanadflow.plans.layout import spread_by, stored
+from sanadflow.plans.layout import by_true_size, spread_by, stored
 
 ARABIC = re.compile("[\u0600-\u06ff\ufb50-\ufdff\ufe70-\ufeff]")
 PARTS = ["kunya", "given", "father", "origin", "byname", "year"]
@@ -381,31 +381,32 @@ def linked(df: DataFrame, column: str, bios: DataFrame, bio_id: str, bio_name: s
     are missing say nothing; ``bio_id`` must be unique, repeated values count once.
     """
     values = parsed(df, column)
-    rows = forms(values)
-    people = bios.select(F.col(bio_id).cast("string").alias("id"), F.col(bio_name).alias("name"), F.col(bio_death).cast("string").alias("death")).where("id is not null")
-    people = stored(people.mapInArrow(_biographies, f"id string, {_PART_TYPES}"))
-    pairs = compared(rows, people)
-    level_names = [f"l_{c}" for c in PARTS]
-    counted = pairs.groupBy(*level_names).agg(F.count("*").alias("n")).collect()
-    patterns = sorted((tuple(r[:6]), r["n"]) for r in counted)
-    odds = estimate(patterns, _chances(rows, people), p) if patterns else {}
-    # At most 5 to the power of 6 patterns.
-    table = df.sparkSession.createDataFrame([(*map(int, x), o) for x, o in odds.items()], ", ".join(f"{c} tinyint" for c in level_names) + ", odds double")
-    scored = pairs.join(F.broadcast(table), level_names).where(F.col("odds") >= p.least).join(people.withColumnRenamed("id", "id_b"), "id_b")
-    # Parts that can contradict another: whole ones.
-    parts = [*[F.when(F.length(c) > 1, F.col(c)).alias(c) for c in PARTS[:5]], F.col("year")]
-    scored = stored(scored.select("id_a", "id_b", "odds", *parts))
+    with by_true_size(df.sparkSession):
+        rows = forms(values)
+        people = bios.select(F.col(bio_id).cast("string").alias("id"), F.col(bio_name).alias("name"), F.col(bio_death).cast("string").alias("death")).where("id is not null")
+        people = stored(people.mapInArrow(_biographies, f"id string, {_PART_TYPES}"))
+        pairs = compared(rows, people)
+        level_names = [f"l_{c}" for c in PARTS]
+        counted = pairs.groupBy(*level_names).agg(F.count("*").alias("n")).collect()
+        patterns = sorted((tuple(r[:6]), r["n"]) for r in counted)
+        odds = estimate(patterns, _chances(rows, people), p) if patterns else {}
+        # At most 5 to the power of 6 patterns.
+        table = df.sparkSession.createDataFrame([(*map(int, x), o) for x, o in odds.items()], ", ".join(f"{c} tinyint" for c in level_names) + ", odds double")
+        scored = pairs.join(F.broadcast(table), level_names).where(F.col("odds") >= p.least).join(people.withColumnRenamed("id", "id_b"), "id_b")
+        # Parts that can contradict another: whole ones.
+        parts = [*[F.when(F.length(c) > 1, F.col(c)).alias(c) for c in PARTS[:5]], F.col("year")]
+        scored = stored(scored.select("id_a", "id_b", "odds", *parts))
 
     # The best value of each part, and the best odds of a candidate that contradicts it: two aggregations, no pairs of candidates.
     best = scored.groupBy("id_a").agg(*[F.max(F.when(F.col(c).isNotNull(), F.struct("odds", F.col(c).alias("v")))).alias(f"t_{c}") for c in PARTS])
-    scored = scored.join(best, "id_a")
+    scored = scored.join(best.hint("merge"), "id_a")
     against = {c: F.coalesce(_contradict(c, F.col(c), F.col(f"t_{c}.v")), F.lit(False)) for c in PARTS}
     second = scored.groupBy("id_a").agg(*[F.max(F.when(against[c], F.col("odds"))).alias(f"s_{c}") for c in PARTS])
     rivals = [F.when(F.col(c).isNotNull(), F.when(against[c], F.col(f"t_{c}.odds")).otherwise(F.col(f"s_{c}"))) for c in PARTS]
-    scored = scored.join(second, "id_a").withColumn("rival", F.greatest(*rivals))
+    scored = scored.join(second.hint("merge"), "id_a").withColumn("rival", F.greatest(*rivals))
     confidence = 1 / (1 + F.exp(-F.col("odds")) + F.coalesce(F.exp(F.col("rival") - F.col("odds")), F.lit(0.0)))
     kept = scored.select(F.col("id_a").alias("id"), F.col("id_b").alias(bio_id), confidence.alias("confidence")).where(F.col("confidence") >= p.posterior)
-    return values.withColumn("id", _form_id()).join(kept, "id").select("value", bio_id, "confidence")
+    return values.withColumn("id", _form_id()).join(kept.hint("merge"), "id").select("value", bio_id, "confidence")
 
 
 def _contradict(part: str, a, b):

@@ -260,3 +260,41 @@ def test_a_byname_alone_is_the_only_person_who_shows_it(spark):
     found = {(r.a, r.b) for r in people.same_person_pairs(df, "nr").collect()}
     groups = [[told[0], alone[0]], [told[1], alone[1], alone[2]], [told[2], alone[4]]]
     assert found == {(a, b) for g in groups for a in g for b in g if a < b}
+
+
+def _broadcast_rows(spark, run):
+    """Most rows that were sent to all tasks at once while ``run`` went."""
+    sc, store = spark.sparkContext, spark._jsparkSession.sharedState().statusStore()
+    executions = lambda: [store.executionsList().apply(i).executionId() for i in range(store.executionsList().size())]
+    before = set(executions())
+    run()
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    rows = [0]
+    for e in set(executions()) - before:
+        nodes, seen = store.planGraph(e).allNodes(), store.executionMetrics(e)
+        for node in (nodes.apply(i) for i in range(nodes.size())):
+            if node.name() == "BroadcastExchange":
+                found = [node.metrics().apply(i) for i in range(node.metrics().size())]
+                rows += [int(seen.apply(m.accumulatorId()).replace(",", "")) for m in found if m.name() == "number of output rows" and seen.contains(m.accumulatorId())]
+    return max(rows)
+
+
+def _typed_names(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice(x) for x in ["bdfgkmnqrstz", "aiu"] * 3)
+    words_ = [word() for _ in range(60)]
+    return sorted({f"{rng.choice(words_).title()} ibn {rng.choice(words_).title()} al-{rng.choice(words_).title()}" for _ in range(600)})
+
+
+def test_keys_of_biographies_are_not_gathered_by_the_driver(spark):
+    """Stored tables of a few KB have keys of some MB, far over the threshold."""
+    typed = _typed_names(spark)
+    df, bios = spark.createDataFrame([(v,) for v in typed], "nr string"), spark.createDataFrame([(str(i), v, None) for i, v in enumerate(typed)], "bio string, name string, death string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        # A row has 16 bytes at least.
+        assert _broadcast_rows(spark, lambda: people.linked(df, "nr", bios, "bio", "name", "death").collect()) <= 4096
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "64k" and spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
