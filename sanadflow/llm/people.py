@@ -125,28 +125,29 @@ def persons(values: DataFrame, channel: Channel = Channel()) -> DataFrame:
     with its misspellings. A byname, kunya, father or origin that stands alone is the one person's who shows it
     (:func:`_alone`).
     """
-    rows = forms(values)
-    pairs = compared(rows, rows)
-    whole = lambda c: F.length(c) > 1
-    shape = F.when(whole("given") & whole("father") & whole("origin"), "T").when(whole("given") & whole("father") & (F.col("origin") == ""), "D")
-    shape = shape.when(whole("given") & whole("origin") & (F.col("father") == ""), "G").otherwise("O")
-    kind = rows.select("id", "n", "year", *PARTS[:5], shape.alias("kind"))
-
-    own, error = _attached(kind.where("kind <> 'O'"), pairs, channel)
-    shown = _shown(rows)
-    known = kind.where("kind = 'T'").join(own, "id").select("id", "person", "year", *PARTS[:5])
-    agree = _count(NEAR, EQUAL, INITIAL) - F.when(F.col("l_year") > OTHER, 1).otherwise(0)
-    fit = stored(pairs.where((_count(OTHER) == 0) & (agree >= 2)))
-    telling = F.col("year").isNotNull() | (F.col("byname") != "") | (F.col("kunya") != "")
-    for step in "DGO":
-        asked = kind.where(F.col("kind") == step)
-        found = _abbreviated(asked, known, fit, shown, error, channel)
-        left = asked.join(own.withColumnRenamed("person", "alone"), "id", "left").join(found, "id", "left")
-        choice = F.when(F.col("posterior") >= channel.sure, F.col("person")).when(F.col("posterior").isNull(), F.coalesce("alone", "id")).when(telling & (F.lit(step) != "O"), F.col("id"))
-        known = stored(known.unionByName(left.select("id", choice.alias("person"), "year", *PARTS[:5]).where("person is not null")))
-    named = values.withColumn("id", _form_id()).join(known, "id").select("value", "person")
-    single = _single(values)
-    return named if single.isEmpty() else named.unionByName(_alone(single, known))
+    with by_true_size(values.sparkSession):
+        rows = forms(values)
+        pairs = compared(rows, rows)
+        whole = lambda c: F.length(c) > 1
+        shape = F.when(whole("given") & whole("father") & whole("origin"), "T").when(whole("given") & whole("father") & (F.col("origin") == ""), "D")
+        shape = shape.when(whole("given") & whole("origin") & (F.col("father") == ""), "G").otherwise("O")
+        kind = rows.select("id", "n", "year", *PARTS[:5], shape.alias("kind"))
+
+        own, error = _attached(kind.where("kind <> 'O'"), pairs, channel)
+        shown = _shown(rows)
+        known = kind.where("kind = 'T'").join(own, "id").select("id", "person", "year", *PARTS[:5])
+        agree = _count(NEAR, EQUAL, INITIAL) - F.when(F.col("l_year") > OTHER, 1).otherwise(0)
+        fit = stored(pairs.where((_count(OTHER) == 0) & (agree >= 2)))
+        telling = F.col("year").isNotNull() | (F.col("byname") != "") | (F.col("kunya") != "")
+        for step in "DGO":
+            asked = kind.where(F.col("kind") == step)
+            found = _abbreviated(asked, known, fit, shown, error, channel)
+            left = asked.join(own.withColumnRenamed("person", "alone"), "id", "left").join(found, "id", "left")
+            choice = F.when(F.col("posterior") >= channel.sure, F.col("person")).when(F.col("posterior").isNull(), F.coalesce("alone", "id")).when(telling & (F.lit(step) != "O"), F.col("id"))
+            known = stored(known.unionByName(left.select("id", choice.alias("person"), "year", *PARTS[:5]).where("person is not null")))
+        named = values.withColumn("id", _form_id()).join(known, "id").select("value", "person")
+        single = _single(values)
+        return stored(named if single.isEmpty() else named.unionByName(_alone(single, known)))
 
 
 #: Parts that stand for a person when they stand alone, and what they are looked up as: 'al-X' may be an origin or a byname.
@@ -285,14 +286,14 @@ def same_person_pairs(df: DataFrame, column: str, channel: Channel = Channel())
     """
     named = persons(parsed(df, column), channel).select(F.col("value").alias("id"), "person")
     several = named.groupBy("person").count().where("count > 1").select(F.col("person").alias("person_a"), F.col("person").alias("person_b"))
-    return expand_pairs(several, named, ["person"])
+    return expand_pairs(several, named.hint("merge"), ["person"])
 
 
 def same_person_groups(df: DataFrame, column: str, channel: Channel = Channel()) -> DataFrame:
     """``value, person, values``: every distinct value that names one person, the person's canonical name in parts, and how
     many values name that person. The membership behind :func:`same_person_pairs`, one row a value."""
     named = persons(parsed(df, column), channel)
-    return named.join(named.groupBy("person").agg(F.count("*").alias("values")), "person").select("value", "person", "values")
+    return named.hint("merge").join(named.groupBy("person").agg(F.count("*").alias("values")), "person").select("value", "person", "values")
 
 
 @dataclass(frozen=True)

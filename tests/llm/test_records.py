@@ -298,3 +298,13 @@ def test_keys_of_biographies_are_not_gathered_by_the_driver(spark):
         assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "64k" and spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_keys_of_names_are_not_gathered_by_the_driver(spark):
+    df = spark.createDataFrame([(v,) for v in _typed_names(spark)], "nr string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        assert _broadcast_rows(spark, lambda: people.same_person_pairs(df, "nr").collect()) <= 4096
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
