@@ -358,3 +358,47 @@ def test_only_windows_that_may_be_asked_for_are_moved(spark):
     got = match.sifted(each, asked)
     assert got.join(asked, "h").count() == 100 and got.count() < 110
     assert match.sifted(each, asked.where("false")).isEmpty()
+
+
+def every_pair(sets, p=dedupe.EVERY):
+    kept, state = [], {}
+    for i in sorted(sets):
+        s = sets[i]
+        like = lambda t: (both := len(s & t)) / len(s | t) >= p.similar or both / min(len(s), len(t)) >= p.covered and both / len(s | t) >= p.covered_similar  # noqa: B023, E731
+        found = None if len(s) < p.shortest else next((j for j in kept if like(sets[j])), i)
+        state[i] = ("short", None) if found is None else ("kept" if found == i else "merged", found)
+        if found == i:
+            kept.append(i)
+    return state
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_merge_of_every_pair_equals_brute_force(spark, seed):
+    rng = random.Random(seed)
+    sets = {}
+    for i in range(150):
+        # Copies of earlier records, with own rare words, so that what they share is never among the rarest.
+        base = sets[rng.choice(list(sets))] if sets and rng.random() < 0.7 else {f"w{rng.randrange(300)}" for _ in range(rng.choice([3, 12, 40, 400]))}
+        sets[i] = {w for w in base if rng.random() < rng.choice([0.5, 0.8, 1])} | {f"own{i}.{k}" for k in range(rng.choice([0, 0, 7]))}
+    rows = [(None if seed == 2 else "c", i, sorted(s)) for i, s in sets.items()] + [("other", i, sorted(s)) for i, s in sets.items() if i > 100]
+    df = spark.createDataFrame(rows, "scope string, ord long, tokens array<string>")
+    got = {(r.scope, r.ord): (r.status, r.kept) for r in dedupe.merge_duplicates(df, dedupe.EVERY).collect()}
+    whole, part = every_pair(sets), every_pair({i: s for i, s in sets.items() if i > 100})
+    assert got == {(rows[0][0], i): v for i, v in whole.items()} | {("other", i): v for i, v in part.items()}
+    assert whole != greedy(sets)
+    edges = {(r["scope"], r["a"], r["b"]) for r in dedupe.duplicate_edges(df, dedupe.EVERY).collect()}
+    p, long = dedupe.EVERY, [i for i in sets if len(sets[i]) >= 5]
+    both = lambda a, b: len(sets[a] & sets[b])
+    like = lambda a, b: (j := both(a, b) / len(sets[a] | sets[b])) >= p.similar or j >= p.covered_similar and both(a, b) / min(len(sets[a]), len(sets[b])) >= p.covered
+    expected = {(a, b) for a in long for b in long if a < b and like(a, b)}
+    assert edges == {(rows[0][0], *x) for x in expected} | {("other", *x) for x in expected if x[0] > 100}
+    classes = dedupe._classes(dedupe._keyed(df.where("scope is null or scope <> 'other'"), p))
+    few = {(r["a"], r["b"]) for r in dedupe._possible_pairs(classes, p, 40).collect()}
+    assert few == {(r["a"], r["b"]) for r in dedupe._possible_pairs(classes, p).collect()}
+    # Equal sets are one class: by its first record.
+    assert few >= {(a, b) for a, b in expected if min(i for i in sets if sets[i] == sets[a]) == a and min(i for i in sets if sets[i] == sets[b]) == b and sets[a] != sets[b]}
+
+
+def test_every_pair_of_nothing(spark):
+    assert dedupe.merge_duplicates(spark.createDataFrame([], "scope string, ord long, tokens array<string>"), dedupe.EVERY).isEmpty()
+    assert [tuple(r) for r in dedupe.merge_duplicates(spark.createDataFrame([("s", 1, ["a"]), ("s", 2, None)], "scope string, ord long, tokens array<string>"), dedupe.EVERY).orderBy("ord").collect()] == [("s", 1, "short", None), ("s", 2, "short", None)]

@@ -1,4 +1,5 @@
 import glob
+import itertools
 import os
 
 import duckdb
@@ -41,3 +42,20 @@ def test_query(spark, db, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def unlike_rare_words(n=2):
+    """Records of ``n`` works; the second has most words of the first, but none of its six rarest."""
+    words = ["".join(w) for w in itertools.product("بتجحدرسش", repeat=4)]
+    said = "سمعت زيدا يقول قال رسول الله"
+    return [f"{said} {' '.join(words[:20])} {' '.join(words[100 * (i + 1) : 100 * (i + 1) + 7])}" for i in range(n)]
+
+
+def test_collection_funnel_merges_records_whose_rarest_words_differ(spark, tmp_path):
+    path = f"{tmp_path}/openiti.parquet"
+    spark.createDataFrame([(i, "c", i, x) for i, x in enumerate(unlike_rare_words(3))], "entry_id long, collection string, n int, ar string").write.parquet(path)
+    got = [tuple(r) for r in registry.QUERIES["collection_funnel"](spark, str(tmp_path)).collect()]
+    assert got == [("c", 3, 3, 1, 0)]
+    with duckdb.connect() as con:
+        con.sql(f"CREATE VIEW openiti AS SELECT * FROM '{path}/*.parquet'")
+        assert con.sql(registry.SQL["collection_funnel"]).fetchall() == got
