@@ -1,4 +1,5 @@
 import http.server
+import itertools
 import json
 import threading
 import zipfile
@@ -69,3 +70,16 @@ def test_paged_source(spark):
     assert [(r.query, r.page) for r in got] == [("a", 1), ("b", 1)]
     answers = spark.createDataFrame(got, rows.schema)
     assert read_verdicts(answers, "answer").count() == 2
+
+
+def unlike_rare_words(spark):
+    words = ["".join(w) for w in itertools.product("بتجحدرسش", repeat=4)]
+    said = "حدثنا زيد قال سمعت عمر يقول قال رسول الله"
+    lines = [f"# {i} {said} {' '.join(words[:20])} {' '.join(words[100 * i : 100 * i + 7])}" for i in (1, 2, 3)]
+    files = spark.createDataFrame([("Auth.Work.Ed1", 1, "\n".join(["#META#Header#End#", *lines]))], "path string, size long, raw string")
+    works = spark.createDataFrame([("Auth.Work", "A")], "fragment string, title string")
+    return extract(files, works, spark.createDataFrame([], "topic string, topic_ord int, keyword string"))
+
+
+def test_extracted_rows_are_merged_where_their_rarest_words_differ(spark):
+    assert [(r.title, r.ord, r.dups) for r in unlike_rare_words(spark)[0].collect()] == [("A", 1, 2)]
