@@ -83,3 +83,7 @@ def unlike_rare_words(spark):
 
 def test_extracted_rows_are_merged_where_their_rarest_words_differ(spark):
     assert [(r.title, r.ord, r.dups) for r in unlike_rare_words(spark)[0].collect()] == [("A", 1, 2)]
+
+
+def test_summary_counts_no_record_twice_where_their_rarest_words_differ(spark):
+    assert [(r.title, r.status, r.attributed, r.uniq) for r in unlike_rare_words(spark)[1].collect()] == [("A", "built", 3, 1)]
