@@ -402,3 +402,21 @@ def test_a_merge_of_every_pair_equals_brute_force(spark, seed):
 def test_every_pair_of_nothing(spark):
     assert dedupe.merge_duplicates(spark.createDataFrame([], "scope string, ord long, tokens array<string>"), dedupe.EVERY).isEmpty()
     assert [tuple(r) for r in dedupe.merge_duplicates(spark.createDataFrame([("s", 1, ["a"]), ("s", 2, None)], "scope string, ord long, tokens array<string>"), dedupe.EVERY).orderBy("ord").collect()] == [("s", 1, "short", None), ("s", 2, "short", None)]
+
+
+def test_rows_are_graded_in_parts_of_their_phrases(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(12)]
+    phrase = [None, "", *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))]
+    rows = spark.createDataFrame([(i, rng.choice(phrase), rng.sample(words, rng.choice([3, 6, 8]))) for i in range(60)], "id long, phrase string, tokens array<string>")
+    texts = spark.createDataFrame([(i, i, w := rng.choices(words, k=25), sorted(set(w))) for i in range(200)], "cand long, ord long, words array<string>, tokens array<string>")
+    whole = sorted(map(tuple, match.graded(rows, match.holding(rows.where("size(tokens) >= 4"), texts)).collect()))
+    kept = []
+
+    def keeping(df):
+        kept.append(stored(df))
+        return kept[-1]
+
+    monkeypatch.setattr(match, "stored", keeping)
+    assert sorted(map(tuple, match.graded_by_phrase(rows, texts, at_once=1).collect())) == whole and any(r[1] == "matched" for r in whole)
+    assert len([x for x in kept if x.columns == ["id", "label", "match", "score"]]) > 1
